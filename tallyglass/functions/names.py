@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import fixed_values as fv
 from .text import STRIP_CLASS, as_col, clean, strip_all
@@ -45,7 +46,7 @@ def strip_credentials(c: Column | str) -> Column:
     return F.when(kept == "", c).otherwise(kept)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold_accents(s: pd.Series) -> pd.Series:
     """Compatibility decomposition, ASCII only, lower case, trimmed."""
 

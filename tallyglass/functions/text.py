@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,16 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Name an intermediate value inside one expression.
+
+    A plain column alias is written out again at every use when Spark merges
+    projections or pushes filters down, which doubles the expression at each
+    step of a chain.  A lambda variable is computed once and never copied.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip_all(c: Column | str) -> Column:
     """Trim every kind of Unicode white space from both ends."""
     return F.regexp_replace(as_col(c), _ENDS, "")

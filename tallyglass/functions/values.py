@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import fixed_values as fv
 from .names import _lookup
-from .text import STRIP_CLASS, as_col, clean, strip_all
+from .text import STRIP_CLASS, as_col, clean, let, strip_all
 
 MONEY = r"\$[\d,]+"
 DATE_CELL = r"^\d{1,2}/\d{1,2}/\d{2,4}$"
@@ -176,27 +176,40 @@ def parse_codes(c: Column | str) -> Column:
     From the right: method, value, income type and income code.  A transaction
     word followed by a date cuts the line there; value and gain code may follow.
     """
-    s = F.array_join(
+    words = F.array_join(
         F.filter(F.split(as_col(c), STRIP_CLASS + "+"), lambda t: t != ""), " "
     )
-    is_tx = s.rlike(_TX_TAIL)
-    after = F.regexp_extract(s, _TX_TAIL, 4)
-    rest = F.when(is_tx, F.regexp_extract(s, _TX_TAIL, 1)).otherwise(s)
 
-    def peel(text: Column, codes: list[str]) -> tuple[Column, Column]:
-        code = F.regexp_extract(text, rf"(?i)(?:^| )({_alt(codes)})$", 1)
-        return code, F.regexp_replace(text, rf"(?i)(?:^| )(?:{_alt(codes)})$", "")
+    def codes(s: Column) -> Column:
+        def from_head(rest: Column) -> Column:
+            return _peel_all(
+                rest, [("method_code", fv.METHOD_CODES), ("value_code", fv.VALUE_CODES),
+                       ("income_type", fv.JUDICIAL_INCOME_WORDS), ("income_code", fv.INCOME_CODES)],
+                {}, s,
+            )
+
+        head = F.when(s.rlike(_TX_TAIL), F.regexp_extract(s, _TX_TAIL, 1)).otherwise(s)
+        return let(head, from_head)
+
+    return let(words, codes)
 
-    method, rest = peel(rest, fv.METHOD_CODES)
-    value, rest = peel(rest, fv.VALUE_CODES)
-    income_type, rest = peel(rest, fv.JUDICIAL_INCOME_WORDS)
-    income, rest = peel(rest, fv.INCOME_CODES)
+
+def _peel_all(rest: Column, todo: list, found: dict[str, Column], s: Column) -> Column:
+    if todo:
+        (name, codes), *more = todo
+        pattern = rf"(?i)(?:^| )({_alt(codes)})$"
+        code = F.regexp_extract(rest, pattern, 1)
+        return let(
+            F.regexp_replace(rest, pattern, ""),
+            lambda shorter: _peel_all(shorter, more, {**found, name: code}, s),
+        )
+    after = F.regexp_extract(s, _TX_TAIL, 4)
     return F.struct(
         rest.alias("text"),
-        F.upper(income).alias("income_code"),
-        income_type.alias("income_type"),
-        F.upper(value).alias("value_code"),
-        F.upper(method).alias("method_code"),
+        F.upper(found["income_code"]).alias("income_code"),
+        found["income_type"].alias("income_type"),
+        F.upper(found["value_code"]).alias("value_code"),
+        F.upper(found["method_code"]).alias("method_code"),
         F.regexp_extract(s, _TX_TAIL, 2).alias("tx_type"),
         F.regexp_extract(s, _TX_TAIL, 3).alias("tx_date"),
         F.upper(F.regexp_extract(after, _TX_CODES, 1)).alias("tx_value"),

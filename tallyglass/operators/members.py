@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import fixed_values as fv
 from ..functions import names as nm
@@ -60,7 +61,7 @@ def member_info(roster: DataFrame) -> DataFrame:
     return rows.unionByName(missing)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold_case_kept(s):
     """Compatibility decomposition, ASCII only, trimmed; letters keep their case."""
     import unicodedata

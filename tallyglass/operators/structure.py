@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..functions import values as vl
+from ..session import settle
 from .joins import best_row
 from .ordered import CHUNK, Order, fold, running
 
@@ -326,7 +327,7 @@ def inherit_names(entries: DataFrame, keys: list[str], drop_arrows: bool, limit:
         text = F.regexp_replace(text, r"^.*⇒\s*", "")
     order = Order(keys, ["entry"], F.expr("entry DIV 65536"), limit)
     piece = tx.strip_all(text)
-    rows = entries.withColumns(
+    rows = settle(entries, "entries").withColumns(
         {
             "head": heads,
             "piece": F.when(heads | F.col("more").isNotNull(), piece),
@@ -377,7 +378,8 @@ def judicial_holdings(lines: DataFrame, order: Order) -> DataFrame:
     entries = judicial_entries(lines, order).where(
         _real_number() & ((F.col("value_code") != "") | (F.col("income_code") != ""))
     )
-    return inherit_names(entries, order.keys, drop_arrows=True, limit=order.limit).select(
+    named = inherit_names(entries, order.keys, drop_arrows=True, limit=order.limit)
+    return named.select(
         *order.keys,
         "entry",
         "asset",
@@ -532,39 +534,73 @@ def _cut(text: Column, piece: Column, at: Column) -> Column:
     )
 
 
-def parse_merged_cell(cells: DataFrame, text: str, out: str = "merged") -> DataFrame:
-    """Add STRUCT<asset, tx_type, tx_date, disc_date, amount, owner>, NULL if unreadable.
+def merged_cell(text: Column) -> Column:
+    """STRUCT<asset, tx_type, tx_date, disc_date, amount, owner> of a merged row.
 
-    Works through named intermediate columns so each step is computed once.
+    NULL when no transaction type or no asset is left in it.  Fields are taken
+    out of the text one after the other: amount, dates, type, owner.
     """
-    lines = F.filter(
-        F.split(F.col(text), "\n"), lambda x: ~tx.is_label_row(tx.strip_all(x))
-    )
-    df = cells.withColumn("__t", tx.strip_all(F.array_join(join_split_amounts(lines), " ")))
-    df = df.withColumn("__amount", tx.strip_all(F.regexp_extract("__t", _RANGE, 1)))
-    back = F.instr(F.reverse("__t"), F.reverse("__amount"))
-    last_at = F.length("__t") - back - F.length("__amount") + 2
-    df = df.withColumn("__t", tx.strip_all(_cut(F.col("__t"), F.col("__amount"), last_at)))
-    df = df.withColumn(
-        "__dates", F.regexp_extract_all("__t", F.lit(r"(\d{2}/\d{2}/\d{4})"), F.lit(1))
-    )
-    df = df.withColumns(
-        {f"__d{i}": F.coalesce(F.get("__dates", F.lit(i)), F.lit("")) for i in (0, 1)}
-    )
-    for d in ("__d0", "__d1"):
-        df = df.withColumn("__t", _cut(F.col("__t"), F.col(d), F.instr("__t", F.col(d))))
-    df = df.withColumn("__t", tx.strip_all(tx.collapse_spaces("__t")))
-    df = df.withColumn("__type", F.regexp_extract("__t", _MERGED_TYPE, 1))
-    whole = F.regexp_extract("__t", _MERGED_TYPE, 0)
-    at = F.instr("__t", whole)
-    df = df.withColumns(
-        {
-            "__before": tx.strip_all(F.substr("__t", F.lit(1), at - 1)),
-            "__after": tx.strip_all(F.substr("__t", at + F.length(whole))),
-        }
-    ).withColumn("__own", vl.split_owner("__before"))
-    code = F.regexp_replace(F.lower("__type"), " ", "")
-    kind = (
+    lines = F.filter(F.split(text, "\n"), lambda x: ~tx.is_label_row(tx.strip_all(x)))
+    whole = tx.strip_all(F.array_join(join_split_amounts(lines), " "))
+    return tx.let(whole, _take_amount)
+
+
+def _take_amount(t: Column) -> Column:
+    def cut(amount: Column) -> Column:
+        back = F.instr(F.reverse(t), F.reverse(amount))
+        at = F.length(t) - back - F.length(amount) + 2
+        return tx.let(
+            tx.strip_all(_cut(t, amount, at)), lambda rest: _take_dates(rest, amount)
+        )
+
+    return tx.let(tx.strip_all(F.regexp_extract(t, _RANGE, 1)), cut)
+
+
+def _take_dates(t: Column, amount: Column) -> Column:
+    def cut(dates: Column) -> Column:
+        d0, d1 = (F.coalesce(F.get(dates, F.lit(i)), F.lit("")) for i in (0, 1))
+        return tx.let(
+            _cut(t, d0, F.instr(t, d0)),
+            lambda one: tx.let(
+                tx.strip_all(tx.collapse_spaces(_cut(one, d1, F.instr(one, d1)))),
+                lambda rest: _take_type(rest, amount, d0, d1),
+            ),
+        )
+
+    return tx.let(F.regexp_extract_all(t, F.lit(r"(\d{2}/\d{2}/\d{4})"), F.lit(1)), cut)
+
+
+def _take_type(t: Column, amount: Column, d0: Column, d1: Column) -> Column:
+    def split(hit: Column) -> Column:
+        at = F.instr(t, hit)
+        before = tx.strip_all(F.substr(t, F.lit(1), at - 1))
+        after = tx.strip_all(F.substr(t, at + F.length(hit)))
+        code = F.regexp_replace(F.lower(F.regexp_extract(hit, _MERGED_TYPE, 1)), " ", "")
+        return tx.let(
+            vl.split_owner(before),
+            lambda own: tx.let(
+                tx.strip_all(
+                    tx.collapse_spaces(F.concat_ws(" ", own["rest"], F.nullif(after, F.lit(""))))
+                ),
+                lambda asset: F.when(
+                    (hit != "") & (asset != ""),
+                    F.struct(
+                        asset.alias("asset"),
+                        _merged_kind(code).alias("tx_type"),
+                        vl.normalize_date(d0).alias("tx_date"),
+                        vl.normalize_date(d1).alias("disc_date"),
+                        amount.alias("amount"),
+                        own["owner"].alias("owner"),
+                    ),
+                ),
+            ),
+        )
+
+    return tx.let(F.regexp_extract(t, _MERGED_TYPE, 0), split)
+
+
+def _merged_kind(code: Column) -> Column:
+    return (
         F.when(F.contains(code, F.lit("partial")), "Sale (Partial)")
         .when(F.contains(code, F.lit("full")), "Sale (Full)")
         .when(F.contains(code, F.lit("exchange")), "Exchange")
@@ -572,22 +608,6 @@ def parse_merged_cell(cells: DataFrame, text: str, out: str = "merged") -> DataF
         .when(code == "p", "Purchase")
         .otherwise("Sale (Full)")
     )
-    asset = tx.strip_all(
-        tx.collapse_spaces(
-            F.concat_ws(" ", F.col("__own.rest"), F.nullif(F.col("__after"), F.lit("")))
-        )
-    )
-    parsed = F.struct(
-        asset.alias("asset"),
-        kind.alias("tx_type"),
-        vl.normalize_date("__d0").alias("tx_date"),
-        vl.normalize_date("__d1").alias("disc_date"),
-        F.col("__amount").alias("amount"),
-        F.col("__own.owner").alias("owner"),
-    )
-    return df.withColumn(out, F.when((F.col("__type") != "") & (asset != ""), parsed)).drop(
-        "__t", "__amount", "__dates", "__d0", "__d1", "__type", "__before", "__after", "__own"
-    )
 
 
 def table_headers(cells: DataFrame, table: list[str], row: list[str]) -> DataFrame:
@@ -615,7 +635,7 @@ def house_ptr(cells: DataFrame, table: list[str], row: list[str]) -> DataFrame:
             "text": cell(F.col("cells"), 0, True),
         }
     )
-    data = parse_merged_cell(data, "text")
+    data = data.withColumn("merged", F.when(F.col("smashed"), merged_cell(F.col("text"))))
     c, r = F.col("cells"), F.col("roles")
 
     def pick(merged: str | None, plain: Column) -> Column:

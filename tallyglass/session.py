@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -45,3 +45,15 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tallyglass-")
     return os.path.join(base, "tallyglass", f"{name}-{uuid.uuid4().hex}")
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the work folder and read it back.
+
+    Used where several branches of a later plan start from a costly result:
+    it is computed once, its lineage is cut, and a lost executor costs a file
+    read instead of the whole chain.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
