@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names as nm
+from ..session import settle
 
 ALIAS_COLUMNS = ["bioguide", "last_name", "first_name"]
 
@@ -98,12 +99,18 @@ def repair(
     Later steps see the aliases of earlier ones.  Returns the repaired
     holdings and transactions and the grown alias table.
     """
-    known = aliases.select(*ALIAS_COLUMNS).unionByName(
-        learn_aliases(holdings, members, aliases)
-    ).distinct()
+    # Each alias table feeds several later branches, so it is stored once.
+    known = settle(
+        aliases.select(*ALIAS_COLUMNS)
+        .unionByName(learn_aliases(holdings, members, aliases))
+        .distinct(),
+        "aliases",
+    )
     fixed_holdings = fix_null_keys(holdings, known)
-    known = known.unionByName(learn_aliases(transactions, members, known)).distinct()
-    return fixed_holdings, fix_null_keys(transactions, known), known
+    grown = settle(
+        known.unionByName(learn_aliases(transactions, members, known)).distinct(), "aliases"
+    )
+    return fixed_holdings, fix_null_keys(transactions, grown), grown
 
 
 def first_covering_alias(names: DataFrame, aliases: DataFrame, members: DataFrame) -> DataFrame:

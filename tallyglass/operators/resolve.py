@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions import names as nm
 from ..functions import text as tx
+from ..session import settle
 
 _NUM = "decimal(38,0)"
 
@@ -199,6 +200,8 @@ def resolve_names(
 ) -> DataFrame:
     """Add the member key and the tier that found it to each row of ``names``.
 
+    ``index`` is read by several branches; pass a stored table, not a long plan.
+
     Tiers: 1 whole first name, 2 its first word, 3 its last word, 4 its other
     form, 5 the only entry of that last name.  Within a tier the entry serving
     latest wins, then the one listed first.
@@ -207,7 +210,8 @@ def resolve_names(
     asked = names.select(
         F.col(last).alias("__last"), F.col(first).alias("__first"), F.nullif(y, F.lit(0)).alias("year")
     ).distinct()
-    q = normal_names(asked, "__last", "__first")
+    # Distinct names only, read by three branches below.
+    q = settle(normal_names(asked, "__last", "__first"), "names")
     spans = overlap_counts(
         index, q.select(F.col("last_n").alias("last"), "year").distinct()
     )

@@ -10,6 +10,7 @@ from ...operators import aliases as al
 from ...operators import dedupe
 from ...operators import members as mb
 from ...operators import resolve as rv
+from ...session import settle
 from . import query
 
 # -- keep-one rules ----------------------------------------------------------
@@ -216,7 +217,7 @@ best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY last, f, year
   FROM scored) q WHERE rn = 1)
 SELECT a.id, b.bioguide, b.tier FROM asked a LEFT JOIN best b ON a.last = b.last AND a.f = b.f AND a.year = b.year""")
 def resolve_names(v):
-    return rv.resolve_names(_asked(v), v.name_index).select("id", "bioguide", "tier")
+    return rv.resolve_names(_asked(v), settle(v.name_index, "index")).select("id", "bioguide", "tier")
 
 
 @query(f"""WITH {_CANDS} SELECT last, year, max(CASE WHEN ok THEN n END) AS n_overlap, count(DISTINCT bioguide) AS n_kept,
@@ -303,7 +304,9 @@ def principals(v):
         .when(k == 1, F.when(odd, "Zoe").otherwise("Hon.. April McClain")).otherwise("X").alias("first_name"),
         (F.col("filing_year") + 20).alias("year"),
     )
-    index = rv.with_manual_entries(v.name_index.withColumn("is_historical", F.lit(True)))
+    index = settle(
+        rv.with_manual_entries(v.name_index.withColumn("is_historical", F.lit(True))), "index"
+    )
     return rv.resolve_names(asked, index).select("id", "bioguide", "tier")
 
 
