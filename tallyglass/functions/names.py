@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from . import fixed_values as fv
+from .fold import ascii_fold, fold_accents, literal_map  # noqa: F401
 from .text import STRIP_CLASS, as_col, clean, strip_all
 
 
@@ -46,19 +43,6 @@ def strip_credentials(c: Column | str) -> Column:
     return F.when(kept == "", c).otherwise(kept)
 
 
-@F.pandas_udf(StringType())
-def fold_accents(s: pd.Series) -> pd.Series:
-    """Compatibility decomposition, ASCII only, lower case, trimmed."""
-
-    def one(x):
-        if not x:
-            return ""
-        flat = unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode("ascii")
-        return flat.lower().strip()
-
-    return s.map(one)
-
-
 def split_name(c: Column | str) -> Column:
     """'Last, First' or 'First Middle Last' to STRUCT<last, first>."""
     full = strip_hon_anywhere(c)
@@ -104,8 +88,7 @@ def parenthesised_name(c: Column | str) -> Column:
 
 
 def _lookup(mapping: dict[str, str], key: Column) -> Column:
-    pairs = [F.lit(x) for kv in mapping.items() for x in kv]
-    return F.try_element_at(F.create_map(*pairs), key)
+    return F.try_element_at(literal_map(mapping), key)
 
 
 def nickname(c: Column | str) -> Column:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from ..functions import fixed_values as fv
 from ..functions import names as nm
@@ -61,18 +60,6 @@ def member_info(roster: DataFrame) -> DataFrame:
     return rows.unionByName(missing)
 
 
-@F.pandas_udf(StringType())
-def fold_case_kept(s):
-    """Compatibility decomposition, ASCII only, trimmed; letters keep their case."""
-    import unicodedata
-
-    return s.map(
-        lambda x: ""
-        if not x
-        else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode("ascii").strip()
-    )
-
-
 def name_aliases(roster: DataFrame) -> DataFrame:
     """Every first name a member may file under, in the form it is stored.
 
@@ -84,11 +71,11 @@ def name_aliases(roster: DataFrame) -> DataFrame:
     shown = nm.display_first(F.col("first_name"), F.col("nickname"), F.col("official_full"))
     forms = m.select(
         "bioguide",
-        fold_case_kept("last_name").alias("last_name"),
+        nm.ascii_fold("last_name").alias("last_name"),
         F.posexplode(
             F.array("first_name", shown, "nickname", official_first)
         ).alias("pos", "form"),
-    ).withColumn("form", fold_case_kept("form"))
+    ).withColumn("form", nm.ascii_fold("form"))
     forms = forms.where(F.col("form") != "").withColumn("key", F.lower("form"))
     written = forms.groupBy("bioguide", "last_name", "key").agg(
         F.min_by("form", "pos").alias("first_name")
