@@ -12,7 +12,16 @@ STRIP_CLASS = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
     r"\x{202f}\x{205f}\x{3000}]"
 )
-_ENDS = f"^{STRIP_CLASS}+|{STRIP_CLASS}+$"
+# The same characters for btrim, which needs no regular expression.
+STRIP_CHARS = "".join(
+    chr(c)
+    for lo, hi in [
+        (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
+        (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F),
+        (0x3000, 0x3000),
+    ]
+    for c in range(lo, hi + 1)
+)
 
 
 def as_col(c: Column | str) -> Column:
@@ -31,7 +40,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip_all(c: Column | str) -> Column:
     """Trim every kind of Unicode white space from both ends."""
-    return F.regexp_replace(as_col(c), _ENDS, "")
+    return F.btrim(as_col(c), F.lit(STRIP_CHARS))
 
 
 def trim_spaces(c: Column | str) -> Column:

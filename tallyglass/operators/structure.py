@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,42 +67,53 @@ Rule = Callable[[Column], Column]
 
 
 def _has(*words: str) -> Rule:
-    return lambda h: h.rlike("|".join(words))
+    def rule(h: Column) -> Column:
+        tests = [F.contains(h, F.lit(w)) for w in words]
+        return reduce(or_, tests)
+
+    return rule
+
+
+def _has_not(word: str, *unless: str) -> Rule:
+    return lambda h: _has(word)(h) & ~_has(*unless)(h)
 
 
 HOUSE_ROLES: dict[str, Rule] = {
-    "asset": lambda h: h.rlike("asset") & ~h.rlike("type"),
-    "asset_type": lambda h: h.rlike("type") & ~h.rlike("transaction"),
+    "asset": _has_not("asset", "type"),
+    "asset_type": _has_not("type", "transaction"),
     "owner": _has("owner"),
     "tx_type": _has("transaction type", "trans type"),
-    "tx_date": lambda h: h.rlike("transaction date") | (h.rlike("date") & ~h.rlike("notif")),
+    "tx_date": lambda h: _has("transaction date")(h) | _has_not("date", "notif")(h),
     "disc_date": _has("notif"),
     "amount": _has("amount"),
     "comment": _has("comment", "description"),
 }
 SENATE_ROLES: dict[str, Rule] = {
-    "asset": lambda h: h.rlike("asset name") | (h.rlike("asset") & ~h.rlike("type")),
+    "asset": lambda h: _has("asset name")(h) | _has_not("asset", "type")(h),
     "asset_type": _has("asset type"),
     "owner": _has("owner"),
     "tx_type": _has("transaction type"),
     "amount": _has("amount"),
-    "tx_date": lambda h: h.rlike("transaction date") | (h.rlike("date") & ~h.rlike("notif")),
+    "tx_date": lambda h: _has("transaction date")(h) | _has_not("date", "notif")(h),
     "disc_date": _has("notif", "disclosure"),
     "comment": _has("comment"),
 }
 
 
 def column_map(header: Column, roles: dict[str, Rule]) -> Column:
-    """STRUCT<role: index of the first matching header cell, NULL if none>."""
-    low = F.transform(header, lambda c: F.lower(tx.clean(c, True)))
-    return F.struct(
-        *[
-            F.nullif(
-                F.array_position(F.transform(low, rule), F.lit(True)).cast("int"), F.lit(0)
-            ).alias(role)
-            for role, rule in roles.items()
-        ]
-    )
+    """STRUCT<role: 1-based position of the first matching header cell, NULL if none>."""
+
+    def positions(low: Column) -> Column:
+        return F.struct(
+            *[
+                F.nullif(
+                    F.array_position(F.transform(low, rule), F.lit(True)).cast("int"), F.lit(0)
+                ).alias(role)
+                for role, rule in roles.items()
+            ]
+        )
+
+    return tx.let(F.transform(header, lambda c: F.lower(tx.clean(c, True))), positions)
 
 
 def mapped(cells: Column, roles: Column, role: str) -> Column:
