@@ -13,7 +13,7 @@ MONEY = r"\$[\d,]+"
 DATE_CELL = r"^\d{1,2}/\d{1,2}/\d{2,4}$"
 TX_TYPE_CELL = r"(?i)^(?:P|S|S\s*\(partial\)|Buy|Sell|Exchange)$"
 
-_DATE = r"(\d{1,2})[/\-](\d{1,2})[/\-](\d{2,4})"
+_DATE = r"\d{1,2}[/\-]\d{1,2}[/\-]\d{2,4}"
 
 
 def has_money(c: Column | str) -> Column:
@@ -25,11 +25,22 @@ def normalize_date(c: Column | str) -> Column:
 
     No calendar check is made here; use :func:`to_date` for a typed column.
     """
-    s = clean(c, drop_del=True)
-    month, day, year = (F.regexp_extract(s, _DATE, g) for g in (1, 2, 3))
-    century = F.when(F.length(year) == 2, F.when(year < "50", "20").otherwise("19")).otherwise("")
-    iso = F.concat(century, year, F.lit("-"), F.lpad(month, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"))
-    return F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}$") | ~s.rlike(_DATE), s).otherwise(iso)
+    def iso(hit: Column) -> Column:
+        month, day, year = (F.split_part(hit, F.lit("-"), F.lit(i)) for i in (1, 2, 3))
+        century = F.when(F.length(year) == 2, F.when(year < "50", "20").otherwise("19"))
+        return F.concat(
+            F.coalesce(century, F.lit("")), year, F.lit("-"), F.lpad(month, 2, "0"),
+            F.lit("-"), F.lpad(day, 2, "0"),
+        )
+
+    def read(s: Column) -> Column:
+        hit = F.translate(F.regexp_extract(s, _DATE, 0), "/", "-")
+        return let(
+            hit,
+            lambda h: F.when((h == "") | s.rlike(r"^\d{4}-\d{2}-\d{2}$"), s).otherwise(iso(h)),
+        )
+
+    return let(clean(c, drop_del=True), read)
 
 
 def to_date(c: Column | str) -> Column:
@@ -69,18 +80,19 @@ def _contains(c: Column, word: str) -> Column:
 def tx_type(c: Column | str) -> Column:
     """Canonical transaction type of a table cell; other text is left as typed."""
     c = as_col(c)
-    hit = F.lower(
+    words = F.lower(
         F.regexp_extract(
             c, r"(?i)\b(purchase|sale\s*\(full\)|sale\s*\(partial\)|exchange|received)", 1
         )
     )
-    return (
-        F.when(hit == "", c)
+    return let(
+        words,
+        lambda hit: F.when(hit == "", c)
         .when(_contains(hit, "purchase"), "Purchase")
         .when(_contains(hit, "partial"), "Sale (Partial)")
         .when(_contains(hit, "full"), "Sale (Full)")
         .when(_contains(hit, "exchange"), "Exchange")
-        .otherwise("Received")
+        .otherwise("Received"),
     )
 
 
@@ -181,39 +193,50 @@ def parse_codes(c: Column | str) -> Column:
     )
 
     def codes(s: Column) -> Column:
-        def from_head(rest: Column) -> Column:
-            return _peel_all(
-                rest, [("method_code", fv.METHOD_CODES), ("value_code", fv.VALUE_CODES),
-                       ("income_type", fv.JUDICIAL_INCOME_WORDS), ("income_code", fv.INCOME_CODES)],
-                {}, s,
-            )
-
-        head = F.when(s.rlike(_TX_TAIL), F.regexp_extract(s, _TX_TAIL, 1)).otherwise(s)
-        return let(head, from_head)
+        # Few lines carry a date, so the long pattern runs only where a '/' is.
+        is_tx = F.contains(s, F.lit("/")) & s.rlike(_TX_TAIL)
+        return let(is_tx, lambda tx: let(
+            F.when(tx, F.regexp_extract(s, _TX_TAIL, 1)).otherwise(s),
+            lambda head: _peel_all(head, _PEEL, {}, s, tx),
+        ))
 
     return let(words, codes)
 
 
-def _peel_all(rest: Column, todo: list, found: dict[str, Column], s: Column) -> Column:
+_PEEL = [
+    ("method_code", fv.METHOD_CODES),
+    ("value_code", fv.VALUE_CODES),
+    ("income_type", fv.JUDICIAL_INCOME_WORDS),
+    ("income_code", fv.INCOME_CODES),
+]
+
+
+def _peel_all(rest: Column, todo: list, found: dict[str, Column], s: Column, tx: Column) -> Column:
     if todo:
         (name, codes), *more = todo
         pattern = rf"(?i)(?:^| )({_alt(codes)})$"
         code = F.regexp_extract(rest, pattern, 1)
         return let(
             F.regexp_replace(rest, pattern, ""),
-            lambda shorter: _peel_all(shorter, more, {**found, name: code}, s),
+            lambda shorter: _peel_all(shorter, more, {**found, name: code}, s, tx),
         )
-    after = F.regexp_extract(s, _TX_TAIL, 4)
+
+    def part(i: int) -> Column:
+        return F.when(tx, F.regexp_extract(s, _TX_TAIL, i)).otherwise("")
+
+    def after(i: int) -> Column:
+        return F.when(tx, F.upper(F.regexp_extract(part(4), _TX_CODES, i))).otherwise("")
+
     return F.struct(
         rest.alias("text"),
         F.upper(found["income_code"]).alias("income_code"),
         found["income_type"].alias("income_type"),
         F.upper(found["value_code"]).alias("value_code"),
         F.upper(found["method_code"]).alias("method_code"),
-        F.regexp_extract(s, _TX_TAIL, 2).alias("tx_type"),
-        F.regexp_extract(s, _TX_TAIL, 3).alias("tx_date"),
-        F.upper(F.regexp_extract(after, _TX_CODES, 1)).alias("tx_value"),
-        F.upper(F.regexp_extract(after, _TX_CODES, 2)).alias("tx_gain"),
+        part(2).alias("tx_type"),
+        part(3).alias("tx_date"),
+        after(1).alias("tx_value"),
+        after(2).alias("tx_gain"),
     )
 
 

@@ -10,7 +10,7 @@ empty and AQE drops it at run time.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,13 +58,14 @@ def mark_chunks(df: DataFrame, order: Order) -> DataFrame:
     )
 
 
-@dataclass
-class Running:
-    """One running value: kind is sum, max, last (non-null) or concat."""
+def by_document(df: DataFrame, order: Order) -> DataFrame:
+    """Place raw rows where :func:`running` will need them.
 
-    kind: str
-    value: Column
-    name: str = field(default="")
+    Called before rows are parsed: the raw cells or lines cross the network,
+    not the wider parsed rows, and parsing runs on every task even when the
+    source is one unsplittable file.  The later windows reuse this placement.
+    """
+    return mark_chunks(df, order).repartition(*order.keys, CHUNK)
 
 
 def _in_window(kind: str, c: Column, w) -> Column:
@@ -80,7 +81,10 @@ def _in_window(kind: str, c: Column, w) -> Column:
 
 
 def running(df: DataFrame, order: Order, **values: tuple[str, Column]) -> DataFrame:
-    """Add running values (inclusive of the current row) over each document."""
+    """Add running values (inclusive of the current row) over each document.
+
+    Each value is (kind, column); kind is sum, max, last (non-null) or concat.
+    """
     marked = mark_chunks(df, order)
     inputs = {name: f"__in_{name}" for name in values}
     base = marked.withColumns({inputs[n]: c for n, (_, c) in values.items()})
@@ -195,53 +199,58 @@ def number_rows(
     by: list[str],
     block: Column,
     name: str = "id",
-    start: int = 1,
+    fine: Column | None = None,
+    limit: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Dense ids over the whole table without a global sort task.
+    """Dense ids from 1 over the whole table without a global sort task.
 
-    ``block`` is a BIGINT that never falls as the order grows and keeps each
-    block to a task's worth of rows.  Rows are numbered inside their block and
-    shifted by the running count of the blocks before it.
+    ``block`` is a BIGINT that never falls as the order grows and normally
+    keeps a block to a task's worth of rows.  A block above ``limit`` rows is
+    cut again by ``fine``, which must never fall within a block.  Rows are
+    numbered inside their cut and shifted by the count of all rows before it.
     """
+    cut = ["__block", "__cut"]
     blocked = df.withColumn("__block", block.cast("bigint"))
+    if fine is None:
+        blocked = blocked.withColumn("__cut", F.lit(0).cast("bigint"))
+    else:
+        # At most (rows / limit) blocks can pass, so this side is small.
+        big = (
+            blocked.groupBy("__block").count().where(F.col("count") > limit)
+            .select("__block", F.lit(True).alias("__big"))
+        )
+        blocked = (
+            blocked.join(F.broadcast(big), "__block", "left")
+            .withColumn("__cut", F.when(F.col("__big"), fine).otherwise(F.lit(0)).cast("bigint"))
+            .drop("__big")
+        )
     local = blocked.withColumn(
-        name, F.row_number().over(Window.partitionBy("__block").orderBy(*by)).cast("bigint")
+        name, F.row_number().over(Window.partitionBy(*cut).orderBy(*by)).cast("bigint")
     )
-    counts = blocked.groupBy("__block").count()
-    # Two levels again: blocks are summed per group of 4096 blocks first.
-    group = F.expr("__block DIV 4096")
-    counts = counts.withColumn("__group", group)
-    inside = counts.withColumn(
-        "__inside",
-        F.coalesce(
-            F.sum("count").over(
-                Window.partitionBy("__group")
-                .orderBy("__block")
-                .rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ),
-    )
-    # One row per 4096 blocks: few enough for the single ordered pass.
-    groups = (
-        counts.groupBy("__group")
-        .agg(F.sum("count").alias("n"))
-        .withColumn(
-            "__before",
-            F.coalesce(
-                F.sum("n").over(
-                    Window.orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
+    counts = blocked.groupBy(*cut).agg(F.count(F.lit(1)).alias("n"))
+
+    def earlier(w) -> Column:
+        return F.coalesce(
+            F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         )
-        .select("__group", "__before")
+
+    cuts = counts.withColumn("__a", earlier(Window.partitionBy("__block").orderBy("__cut")))
+    blocks = counts.groupBy("__block").agg(F.sum("n").alias("n")).withColumn(
+        "__group", F.expr("__block DIV 4096")
+    )
+    within = blocks.withColumn("__b", earlier(Window.partitionBy("__group").orderBy("__block")))
+    # One row per 4096 blocks: few enough for the one ordered pass.
+    groups = blocks.groupBy("__group").agg(F.sum("n").alias("n")).withColumn(
+        "__c", earlier(Window.orderBy("__group"))
     )
-    offsets = inside.join(groups, "__group").select(
-        "__block", (F.col("__inside") + F.col("__before")).alias("__offset")
+    offsets = (
+        cuts.select(*cut, "__a")
+        .join(within.select("__block", "__group", "__b"), "__block")
+        .join(groups.select("__group", "__c"), "__group")
+        .select(*cut, (F.col("__a") + F.col("__b") + F.col("__c")).alias("__offset"))
     )
     return (
-        local.join(offsets, "__block")
-        .withColumn(name, F.col(name) + F.col("__offset") + F.lit(start - 1))
-        .drop("__block", "__offset")
+        local.join(offsets, cut)
+        .withColumn(name, F.col(name) + F.col("__offset"))
+        .drop(*cut, "__offset")
     )

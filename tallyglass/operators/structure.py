@@ -14,7 +14,7 @@ from ..functions import text as tx
 from ..functions import values as vl
 from ..session import settle
 from .joins import best_row
-from .ordered import CHUNK, Order, fold, running
+from .ordered import CHUNK, Order, by_document, fold, running
 
 # -- cells -------------------------------------------------------------------
 
@@ -48,19 +48,23 @@ def is_smashed(cells: Column) -> Column:
 
 
 def holding_layout(cells: Column) -> Column:
-    """Owner, value, income type and income of a five- or six-column row."""
-    six = F.coalesce(vl.has_money(F.get(cells, F.lit(3))), F.lit(False))
+    """Owner, value, income type and income of a cleaned five- or six-column row."""
+    names = ["owner", "value", "income_type", "income"]
 
-    def pick(i: int) -> Column:
-        return F.when(six, cell(cells, i + 1)).otherwise(cell(cells, i))
+    def pick(six: Column) -> Column:
+        start = F.when(six, 3).otherwise(2)
+        return tx.let(
+            F.slice(cells, start, F.lit(4)),
+            lambda part: F.struct(
+                six.alias("six_columns"),
+                *[
+                    F.coalesce(F.get(part, F.lit(i)), F.lit("")).alias(n)
+                    for i, n in enumerate(names)
+                ],
+            ),
+        )
 
-    return F.struct(
-        six.alias("six_columns"),
-        pick(1).alias("owner"),
-        pick(2).alias("value"),
-        pick(3).alias("income_type"),
-        pick(4).alias("income"),
-    )
+    return tx.let(F.coalesce(vl.has_money(F.get(cells, F.lit(3))), F.lit(False)), pick)
 
 
 Rule = Callable[[Column], Column]
@@ -127,12 +131,12 @@ def mapped(cells: Column, roles: Column, role: str) -> Column:
 def house_rows(cells: DataFrame, order: Order) -> DataFrame:
     """Row classes, layout and running section/entry numbers of annual tables."""
     c = clean_cells(F.col("cells"))
-    rows = cells.withColumn("cells", c)
+    rows = by_document(cells, order).withColumn("cells", c)
     lay = holding_layout(F.col("cells"))
     rows = rows.withColumns(
         {
             "header": is_asset_header(F.col("cells")),
-            "asset": tx.clean_asset(cell(F.col("cells"), 0)),
+            "asset": tx.clean_asset(F.coalesce(F.get("cells", F.lit(0)), F.lit(""))),
             "lay": lay,
             "filled": F.exists(F.col("cells"), lambda x: x != ""),
         }
@@ -241,7 +245,7 @@ _CONTINUED = r"(?i)^\((?:part\.?|add'?l\.?)\)\s*"
 
 def judicial_entries(lines: DataFrame, order: Order) -> DataFrame:
     """Numbered entries with their codes; ``own`` is NULL where a name is inherited."""
-    ln = lines.withColumn("line", tx.strip_all("line"))
+    ln = by_document(lines, order).withColumn("line", tx.strip_all("line"))
     line = F.col("line")
     usable = (line != "") & ~is_judicial_noise(line)
     numbered = line.rlike(r"^\d+\.\s+")
@@ -420,7 +424,7 @@ def judicial_transactions(lines: DataFrame, order: Order) -> DataFrame:
 
 def executive_rows(lines: DataFrame, order: Order) -> DataFrame:
     """Lines of the target parts, with the numbered row each belongs to."""
-    ln = lines.withColumn("line", tx.strip_all("line"))
+    ln = by_document(lines, order).withColumn("line", tx.strip_all("line"))
     line = F.col("line")
     ln = ln.where((line != "") & ~tx.contains_any(line, fv.EXECUTIVE_NOISE))
     sched = F.regexp_extract(line, r"(?i)^Schedule\s+1\s+for\s+Part\s+(\d+)", 1)

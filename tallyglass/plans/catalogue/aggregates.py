@@ -114,10 +114,10 @@ def load_holdings(v):
     rows = v.holdings.select(
         F.col("id").alias("row_key"), "chamber", "asset", "bioguide", *_LOAD_BY
     )
-    # 4096 order keys to a block, split further by line number
-    block = F.expr("order_key DIV 4096 * 8 + 0")
+    block = F.expr("order_key DIV 4096")
+    fine = F.expr("(order_key % 4096) * 562949953421312 + line_number * 70368744177664 + part_key DIV 1024")
     path = work_folder(v.spark, "holdings")
-    return tb.rebuild(rows, path, _LOAD_BY, block).select("id", "row_key", "chamber", "asset", "bioguide")
+    return tb.rebuild(rows, path, _LOAD_BY, block, fine).select("id", "row_key", "chamber", "asset", "bioguide")
 
 
 @query("""SELECT id, chamber, CASE WHEN filing_year IN (1996, 1997) THEN amount || ' *' ELSE amount END AS amount, filing_year

@@ -46,7 +46,7 @@ def column_map(v):
 
 @query(f"WITH {HOUSE_ROWS} SELECT doc_id, page, table_no, row_no, six, owner, value, income_type, income FROM house5")
 def layout_infer(v):
-    lay = st.holding_layout(F.col("cells"))
+    lay = st.holding_layout(st.clean_cells(F.col("cells")))
     return v.house_cells.select(*_AT, lay.alias("l")).select(
         *_AT, F.col("l.six_columns").alias("six"), "l.owner", "l.value", "l.income_type", "l.income"
     )

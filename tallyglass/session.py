@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # The JVM never compiles methods above 8000 bytes of bytecode, so generated
+    # code beyond that would be interpreted; fall back to smaller methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

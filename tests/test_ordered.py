@@ -102,9 +102,11 @@ def test_parsers_do_not_depend_on_the_limit(spark, name):
 
 def test_number_rows_is_dense_and_ordered(spark):
     df = spark.range(0, 5000, 3).withColumn("k", F.pmod(F.xxhash64("id"), F.lit(100000)))
-    got = number_rows(df, ["k", "id"], F.expr("k DIV 37"), "no").orderBy("no").collect()
-    assert [r.no for r in got] == list(range(1, len(got) + 1))
-    assert [(r.k, r.id) for r in got] == sorted((r.k, r.id) for r in got)
+    df = df.unionByName(spark.range(10_000, 10_300).withColumn("k", F.lit(5).cast("bigint")))  # a hot block
+    for fine, limit in ((None, 1_000_000), (F.expr("k * 100000 + id DIV 7"), 20)):
+        got = number_rows(df, ["k", "id"], F.expr("k DIV 37"), "no", fine, limit).orderBy("no").collect()
+        assert [r.no for r in got] == list(range(1, len(got) + 1))
+        assert [(r.k, r.id) for r in got] == sorted((r.k, r.id) for r in got)
 
 
 def test_best_row_and_lookup_with_missing_keys(spark):
