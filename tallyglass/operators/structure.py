@@ -646,39 +646,59 @@ def house_ptr(cells: DataFrame, table: list[str], row: list[str]) -> DataFrame:
         same = F.col(c) == F.col(f"__h_{c}")
         is_head = same if is_head is None else is_head & same
     data = data.where(~is_head & F.exists("cells", lambda c: F.coalesce(c, F.lit("")) != ""))
-    data = data.withColumns(
-        {
-            "smashed": is_smashed(F.col("cells")),
-            "text": cell(F.col("cells"), 0, True),
-        }
+    record = tx.let(
+        cell(F.col("cells"), 0, True),
+        lambda text: F.when(is_smashed(F.col("cells")), tx.let(merged_cell(text), _merged_record))
+        .otherwise(tx.let(mapped(F.col("cells"), F.col("roles"), "asset"), _plain_record)),
+    )
+    # Unreadable rows give NULL.  The outer explode keeps the test for that above
+    # the parse; pushed below it, every row would be parsed twice.
+    return (
+        data.select(*table, *row, F.explode_outer(F.array(record)).alias("r"))
+        .where(F.col("r").isNotNull())
+        .select(*table, *row, "r.*")
+    )
+
+
+def _ptr_record(asset: Column, tx_date, disc_date, kind, amount, asset_type, comment) -> Column:
+    return tx.let(
+        tx.strip_labels(asset),
+        lambda name: F.struct(
+            tx_date.alias("transaction_date"),
+            disc_date.alias("disclosure_date"),
+            name.alias("asset"),
+            asset_type.alias("asset_type"),
+            kind.alias("transaction_type"),
+            amount.alias("amount"),
+            tx.ticker(name).alias("ticker"),
+            comment.alias("comment"),
+        ),
     )
-    data = data.withColumn("merged", F.when(F.col("smashed"), merged_cell(F.col("text"))))
-    c, r = F.col("cells"), F.col("roles")
 
-    def pick(merged: str | None, plain: Column) -> Column:
-        return F.when(
-            F.col("smashed"), F.lit("") if merged is None else F.col(f"merged.{merged}")
-        ).otherwise(plain)
 
-    raw_asset = mapped(c, r, "asset")
-    out = data.withColumns(
-        {
-            "raw_asset": pick("asset", raw_asset),
-            "transaction_type": pick("tx_type", vl.tx_type(mapped(c, r, "tx_type"))),
-            "transaction_date": pick("tx_date", vl.normalize_date(mapped(c, r, "tx_date"))),
-            "disclosure_date": pick("disc_date", vl.normalize_date(mapped(c, r, "disc_date"))),
-            "amount": pick("amount", mapped(c, r, "amount")),
-            "asset_type": pick(None, mapped(c, r, "asset_type")),
-            "comment": pick(None, mapped(c, r, "comment")),
-        }
-    ).where(
-        F.when(F.col("smashed"), F.col("merged").isNotNull()).otherwise(
-            (F.col("raw_asset") != "") & ~tx.is_label_row("raw_asset")
-        )
+def _merged_record(m: Column) -> Column:
+    none = F.lit("")
+    return F.when(
+        m.isNotNull(),
+        _ptr_record(
+            m["asset"], m["tx_date"], m["disc_date"], m["tx_type"], m["amount"], none, none
+        ),
     )
-    return out.withColumn("asset", tx.strip_labels("raw_asset")).select(
-        *table, *row, "transaction_date", "disclosure_date", "asset", "asset_type",
-        "transaction_type", "amount", tx.ticker("asset").alias("ticker"), "comment",
+
+
+def _plain_record(asset: Column) -> Column:
+    c, r = F.col("cells"), F.col("roles")
+    return F.when(
+        (asset != "") & ~tx.is_label_row(asset),
+        _ptr_record(
+            asset,
+            vl.normalize_date(mapped(c, r, "tx_date")),
+            vl.normalize_date(mapped(c, r, "disc_date")),
+            vl.tx_type(mapped(c, r, "tx_type")),
+            mapped(c, r, "amount"),
+            mapped(c, r, "asset_type"),
+            mapped(c, r, "comment"),
+        ),
     )
 
 
