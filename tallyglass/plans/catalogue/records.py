@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 
 from ...functions import fixed_values as fv
 from ...functions import text as tx
-from ...functions import values as vl
 from ...operators import structure as st
-from ...operators.ordered import CHUNK, Order, running
+from ...operators.ordered import CHUNK, Order, fold, running
 from ...sources import documents as dc
 from . import query
-from .aggregates import HOUSE_ROWS, MONEY
+from .aggregates import HOUSE_ROWS
 from .views import cell_order, line_order
 
 _AT = ["doc_id", "page", "table_no", "row_no"]
@@ -138,8 +137,6 @@ def house_holdings(v):
 HAVING max(CASE WHEN emit THEN 1 ELSE 0 END) = 1 AND count(*) > 1""")
 def stitch_rows(v):
     rows = st.house_rows(v.house_cells, cell_order()).where("in_section AND (emit OR more)")
-    from ...operators.ordered import fold
-
     return (
         fold(
             rows, ["doc_id", "entry"], cell_order().position(), concat={"asset": F.col("asset")},

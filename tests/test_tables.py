@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyglass.operators import dedupe
 from tallyglass.operators import members as mb
@@ -132,7 +133,8 @@ def test_member_tables(spark):
         (("B2",), ("Anna", "Luna", None, "Anna Paulina Luna"), None, False),
         ((None,), ("No", "Key", None, None), None, False),
     ]
-    roster = spark.createDataFrame(docs, ROSTER.add("is_historical", "boolean"))
+    schema = T.StructType([*ROSTER.fields, T.StructField("is_historical", T.BooleanType())])
+    roster = spark.createDataFrame(docs, schema)
     info = {r.bioguide: tuple(r)[1:] for r in mb.member_info(roster).collect()}
     assert info["A1"] == ("Núñez", "Robert", "Bob", "NV", "I", 1)
     assert info["B2"] == ("Luna", "Anna", "Anna", "", "", 1)
