@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, sharding
+from . import forest, line_dedup, mixing, packing, quality, secrets, sharding, simhash
 from .common import WORD
 
 
@@ -15,6 +15,44 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts of each text and the verdict of the base rule and the risk-controlled cutoffs."""
+    out = quality.judge(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+    return out.select(F.col("key").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op2_projection_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.9 or more."""
+    return forest.near_duplicates(_read(spark, folder, "embeddings"))
+
+
+def op3_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of each document, linked within two bits."""
+    out = simhash.near_duplicates(_read(spark, folder, "documents"))
+    return out.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def vocabulary() -> str:
+    """The default vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_min_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces of all documents, packed into sequences of at most 2048 ids."""
+    return packing.pack(_read(spark, folder, "documents"), vocabulary())
+
+
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of each document: counts and digest of the base kinds, and all spans."""
+    out = secrets.scan(_read(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return out.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op8_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Each document's shard of 16 by its id, its slot there, and its shard of 17."""
     out = sharding.shard(_read(spark, folder, "documents"), 16)
@@ -97,7 +135,11 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op8_jump_shards, op9_mix_sources, op10_line_runs)
+    f.__name__: f
+    for f in (
+        op1_quality_rules, op2_projection_forest, op3_simhash_groups, op6_min_slack_packing, op7_secret_scan,
+        op8_jump_shards, op9_mix_sources, op10_line_runs,
+    )
 }
 _ORACLES = {"op9_mix_sources": OP9_SQL, "op10_line_runs": OP10_SQL}
 
