@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import forest, line_dedup, mixing, packing, quality, secrets, sharding, simhash
+from . import forest, line_dedup, mixing, packing, quality, secrets, sharding, simhash, suffix_dedup
 from .common import WORD
 
 
@@ -32,6 +32,13 @@ def op3_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op5_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and runs removed from each document, and a hash of the bytes that stay."""
+    out = suffix_dedup.remove_repeats(_read(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def vocabulary() -> str:
     """The default vocabulary file."""
     import public_tokenizers
@@ -137,7 +144,7 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_quality_rules, op2_projection_forest, op3_simhash_groups, op6_min_slack_packing, op7_secret_scan,
+        op1_quality_rules, op2_projection_forest, op3_simhash_groups, op5_suffix_repeats, op6_min_slack_packing, op7_secret_scan,
         op8_jump_shards, op9_mix_sources, op10_line_runs,
     )
 }
