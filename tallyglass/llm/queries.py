@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import forest, line_dedup, mixing, packing, quality, secrets, sharding, simhash, suffix_dedup
+from . import forest, line_dedup, mixing, packing, quality, quotations, secrets, sharding, simhash, suffix_dedup
 from .common import WORD
 
 
@@ -32,6 +32,15 @@ def op3_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op4_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    """All turns, rendered as mails that quote each other, put back into threads without quotes."""
+    out = quotations.conversations(quotations.as_mail(_read(spark, folder, "conversations")))
+    return out.select(
+        "conv_id", "turn", F.col("quotes").alias("n_quotes"), F.col("linked").alias("n_linked"), F.col("parent.scope").alias("parent_conv"), F.col("parent.seq").alias("parent_turn"),
+        F.col("root.scope").alias("root_conv"), F.col("root.seq").alias("root_turn"), F.col("depth").cast("long").alias("depth"), "place", F.sha2("own", 256).alias("own_sha256"),
+    )
+
+
 def op5_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes and runs removed from each document, and a hash of the bytes that stay."""
     out = suffix_dedup.remove_repeats(_read(spark, folder, "documents"))
@@ -144,7 +153,7 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_quality_rules, op2_projection_forest, op3_simhash_groups, op5_suffix_repeats, op6_min_slack_packing, op7_secret_scan,
+        op1_quality_rules, op2_projection_forest, op3_simhash_groups, op4_quotation_links, op5_suffix_repeats, op6_min_slack_packing, op7_secret_scan,
         op8_jump_shards, op9_mix_sources, op10_line_runs,
     )
 }
