@@ -12,12 +12,12 @@ from .text import STRIP_CLASS, as_col, clean, strip_all
 
 def strip_hon_anywhere(c: Column | str) -> Column:
     return strip_all(
-        F.regexp_replace(as_col(c), r"(?i)\b(?:the\s+honorable|hon\.\.?)\s*", "")
+        F.regexp_replace(as_col(c), rf"(?i)\b(?:the{STRIP_CLASS}+honorable|hon\.\.?){STRIP_CLASS}*", "")
     )
 
 
 def strip_hon_prefix(c: Column | str) -> Column:
-    return strip_all(F.regexp_replace(strip_all(c), r"(?i)^hon\.\.?\s+", ""))
+    return strip_all(F.regexp_replace(strip_all(c), rf"(?i)^hon\.\.?{STRIP_CLASS}+", ""))
 
 
 def strip_hon_first_word(c: Column | str) -> Column:
@@ -33,7 +33,7 @@ def strip_credentials(c: Column | str) -> Column:
     """Drop leading and trailing credential tokens, but never all of the name."""
     c = as_col(c)
     tokens = F.transform(
-        F.filter(F.split(c, r"[,\s]+"), lambda t: t != ""),
+        F.filter(F.split(c, rf"(?:,|{STRIP_CLASS})+"), lambda t: t != ""),
         lambda t: F.regexp_replace(t, r"\.+$", ""),
     )
     words = F.array_join(tokens, " ")
@@ -60,11 +60,11 @@ def split_name(c: Column | str) -> Column:
 
 
 def first_word(c: Column | str) -> Column:
-    return F.substring_index(strip_all(F.regexp_replace(as_col(c), r"\s+", " ")), " ", 1)
+    return F.substring_index(strip_all(F.regexp_replace(as_col(c), STRIP_CLASS + "+", " ")), " ", 1)
 
 
 def last_word(c: Column | str) -> Column:
-    return F.substring_index(strip_all(F.regexp_replace(as_col(c), r"\s+", " ")), " ", -1)
+    return F.substring_index(strip_all(F.regexp_replace(as_col(c), STRIP_CLASS + "+", " ")), " ", -1)
 
 
 def strip_suffix(c: Column | str) -> Column:

@@ -70,7 +70,7 @@ def clean(c: Column | str, drop_del: bool = False) -> Column:
 
 
 def collapse_spaces(c: Column | str, at_least: int = 1) -> Column:
-    pattern = r"\s+" if at_least == 1 else rf"\s{{{at_least},}}"
+    pattern = STRIP_CLASS + ("+" if at_least == 1 else f"{{{at_least},}}")
     return F.regexp_replace(as_col(c), pattern, " ")
 
 

@@ -63,14 +63,24 @@ def value_range(c: Column | str) -> Column:
 
 
 def range_bounds(c: Column | str) -> Column:
-    """Range text to STRUCT<lo, hi>; ``hi`` is NULL for an open range."""
+    """Range text to STRUCT<lo, hi>; ``hi`` is NULL for 'Over' alone.
+
+    'None' and 'less than' start at 0 and end at the stated amount; one amount
+    by itself is both ends.
+    """
+    text = as_col(c)
+    below = text.rlike(r"(?i)\bnone\b|less\s+than|<\s*\$")
+    above = text.rlike(r"(?i)\bover\b")
     amounts = F.regexp_extract_all(as_col(c), F.lit(r"\$([\d,]+)"), F.lit(1))
 
     def amount(i: int) -> Column:
         digits = F.regexp_replace(F.get(amounts, F.lit(i)), ",", "")
         return digits.try_cast("decimal(18,2)")
 
-    return F.struct(amount(0).alias("lo"), amount(1).alias("hi"))
+    zero = F.lit(0).cast("decimal(18,2)")
+    lo = F.when(below & amount(0).isNotNull(), zero).otherwise(amount(0))
+    hi = F.when(below, amount(0)).when(above, amount(1)).otherwise(F.coalesce(amount(1), amount(0)))
+    return F.struct(lo.alias("lo"), hi.alias("hi"))
 
 
 def _contains(c: Column, word: str) -> Column:
@@ -96,13 +106,19 @@ def tx_type(c: Column | str) -> Column:
     )
 
 
+def title_case(c: Column | str) -> Column:
+    """Each run of letters with one capital in front; what is between the runs stays."""
+    runs = F.regexp_extract_all(as_col(c), F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    return F.array_join(F.transform(runs, F.initcap), "")
+
+
 def tx_type_judicial(c: Column | str) -> Column:
     low = F.lower(as_col(c))
     return (
         F.when(low.rlike("buy|purchase"), "Purchase")
         .when(low.rlike("sell|sold|redeem"), "Sale (Full)")
         .when(_contains(low, "exchange"), "Exchange")
-        .otherwise(F.initcap(as_col(c)))
+        .otherwise(title_case(c))
     )
 
 

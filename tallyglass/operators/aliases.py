@@ -21,6 +21,11 @@ def seed_aliases(members: DataFrame) -> DataFrame:
     return legal.unionByName(shown).distinct()
 
 
+def seed_when_empty(existing: DataFrame, members: DataFrame) -> DataFrame:
+    """The alias table as it is, or the seeds if it has no row yet."""
+    return seed_aliases(members) if existing.isEmpty() else existing
+
+
 def unique_last_names(members: DataFrame) -> DataFrame:
     """Last names only one member bears, with that member."""
     return (

@@ -87,7 +87,7 @@ def name_aliases(roster: DataFrame) -> DataFrame:
         .join(written.select("bioguide", "key"), ["bioguide", "key"], "left_anti")
         .select(
             "bioguide", "last_name",
-            F.concat(F.upper(F.substring("key", 1, 1)), F.substring("key", 2, 100)).alias("first_name"),
+            F.concat(F.upper(F.substring("key", 1, 1)), F.expr("substring(key, 2)")).alias("first_name"),
         )
     )
     base = written.select("bioguide", "last_name", "first_name").unionByName(expanded)

@@ -44,7 +44,7 @@ def mark_chunks(df: DataFrame, order: Order) -> DataFrame:
     """Add ``__chunk``: 0 everywhere but in documents above the limit."""
     if CHUNK in df.columns:
         return df
-    # At most (rows / limit) keys can pass, so this side is small by construction.
+    # At most (rows / limit) keys pass; Spark checks the size before it broadcasts them.
     hot = (
         df.groupBy(*order.keys)
         .count()
@@ -52,7 +52,7 @@ def mark_chunks(df: DataFrame, order: Order) -> DataFrame:
         .select(*order.keys, F.lit(True).alias(_HOT))
     )
     return (
-        df.join(F.broadcast(hot), order.keys, "left")
+        df.join(hot, order.keys, "left")
         .withColumn(CHUNK, F.when(F.col(_HOT), order.chunk).otherwise(F.lit(0)).cast("bigint"))
         .withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
     )
@@ -214,13 +214,13 @@ def number_rows(
     if fine is None:
         blocked = blocked.withColumn("__cut", F.lit(0).cast("bigint"))
     else:
-        # At most (rows / limit) blocks can pass, so this side is small.
+        # At most (rows / limit) blocks pass; Spark checks the size before it broadcasts them.
         big = (
             blocked.groupBy("__block").count().where(F.col("count") > limit)
             .select("__block", F.lit(True).alias("__big"))
         )
         blocked = (
-            blocked.join(F.broadcast(big), "__block", "left")
+            blocked.join(big, "__block", "left")
             .withColumn("__cut", F.when(F.col("__big"), fine).otherwise(F.lit(0)).cast("bigint"))
             .drop("__big")
         )

@@ -43,12 +43,11 @@ def filing_type_counts(v):
 SELECT 'transactions', count(*) FROM transactions_v UNION ALL
 SELECT 'committee_members', count(*) FROM committee_members_v UNION ALL SELECT 'no_such_table', 0""")
 def table_counts(v):
-    return ql.table_counts(
-        {
-            "holdings": v.holdings, "transactions": v.transactions,
-            "committee_members": v.committee_members, "no_such_table": None,
-        }
-    )
+    names = ["holdings", "transactions", "committee_members"]
+    for n in names:
+        getattr(v, n).createOrReplaceTempView(f"counted_{n}")
+    counts = ql.catalog_counts(v.spark, [*(f"counted_{n}" for n in names), "counted_no_such_table"])
+    return counts.select(F.replace("table_name", F.lit("counted_"), F.lit("")).alias("table_name"), "n")
 
 
 @query("""WITH n AS (SELECT DISTINCT chamber, last_name || ', ' || first_name AS name FROM holdings_v WHERE bioguide IS NULL),

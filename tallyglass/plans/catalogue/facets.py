@@ -9,7 +9,9 @@ from ...functions import names as nm
 from ...functions import text as tx
 from ...functions import values as vl
 from ...operators import dedupe, joins
+from ...session import work_folder
 from ...sources import rosters as rs
+from ...sources import tables as tb
 from .. import analytics as an
 from .. import search as se
 from . import query
@@ -252,14 +254,14 @@ WHERE h.last_name ILIKE '%last1%' OR h.first_name ILIKE '%last1%' GROUP BY 1, 2,
 ORDER BY raw_last NULLS FIRST, last_name NULLS FIRST, first_name NULLS FIRST, chamber NULLS FIRST,
   state NULLS FIRST, party NULLS FIRST LIMIT 600""")
 def members_browse(v):
-    return se.browse_members(v.holdings, v.member_info, q="last1")
+    return se.browse_members(v.holdings, v.member_info, q="last1", limit=600)
 
 
 @query(f"""SELECT DISTINCT last_name, first_name, chamber, state, party FROM ({_MEMBERS}
 WHERE (h.state = 'N07' OR (nullif(trim(h.state), '') IS NULL AND mi.state = 'N07')) AND mi.party ILIKE '%demo%'
 GROUP BY 1, 2, 3, 4, 5)""")
 def members_distinct(v):
-    return se.browse_members(v.holdings, v.member_info, state="N07", party="demo", limit=None)
+    return se.browse_members(v.holdings, v.member_info, state="N07", party="demo")
 
 
 # -- whole endpoints ---------------------------------------------------------
@@ -282,13 +284,20 @@ def search_full_total(v):
     return se.search_holdings(v.holdings, v.member_info, **_FULL_ARGS).total
 
 
-@query(f"""SELECT chamber, last_name, first_name, state, asset, asset_type, owner, value, income_type, income
+_EXPORT = ["chamber", "last_name", "first_name", "state", "asset", "asset_type", "owner", "value", "income_type", "income"]
+
+
+@query(f"""SELECT {', '.join(f"coalesce({c}, '') AS {c}" for c in _EXPORT)}
 FROM holdings_v h WHERE {_LEGEND} AND {_ANY3.format(p='%last2%')} AND chamber = 'House' AND state = ' '
 AND (asset_type ILIKE '%eco%' OR asset_type IS NULL OR trim(asset_type) = '')""")
 def export_rows(v):
-    return se.export_holdings(
+    """Written as CSV and read back: header, quotes and blanks included."""
+    found = se.export_holdings(
         v.holdings, member="last2", chamber="House", state=" ", asset_type="eco|__none__"
     )
+    path = work_folder(v.spark, "export")
+    tb.write_csv(found, path)
+    return tb.read_csv(v.spark, path, _EXPORT)
 
 
 @query(f"""SELECT t.id, t.chamber, t.last_name, t.first_name, t.transaction_date, t.disclosure_date, t.asset,

@@ -66,7 +66,7 @@ def apply_corrections(v):
 UNION SELECT bioguide, last_name, display_first FROM member_info_v
 WHERE display_first <> '' AND lower(display_first) <> lower(first_name)""")
 def seed_aliases(v):
-    return al.seed_aliases(v.member_info)
+    return al.seed_when_empty(al.seed_aliases(v.member_info).limit(0), v.member_info)
 
 
 @query("""SELECT lower(last_name) AS last_lc, min(bioguide) AS bioguide FROM member_info_v GROUP BY 1 HAVING count(*) = 1""")

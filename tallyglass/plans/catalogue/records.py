@@ -323,19 +323,18 @@ def senate_ptr(v):
 
 
 @query("""WITH pg AS (SELECT l_partkey AS doc, l_orderkey % 70 AS page, max(CASE WHEN l_quantity > 40 THEN 1 ELSE 0 END) AS found
-  FROM lineitem WHERE l_orderkey % 70 < 60 GROUP BY 1, 2),
+  FROM lineitem GROUP BY 1, 2),
 d AS (SELECT doc, page, found, row_number() OVER (PARTITION BY doc ORDER BY page) - 1 AS pg FROM pg),
-r AS (SELECT *, pg - coalesce(max(CASE WHEN found = 1 THEN pg END) OVER (PARTITION BY doc ORDER BY pg), -1) AS run FROM d),
+r AS (SELECT * FROM (SELECT *, pg - coalesce(max(CASE WHEN found = 1 THEN pg END) OVER (PARTITION BY doc ORDER BY pg), -1) AS run FROM d) q WHERE pg < 60),
 c AS (SELECT doc, min(pg) AS cut FROM r WHERE pg > 5 AND run >= 5 GROUP BY doc)
 SELECT r.doc, r.pg, r.found FROM r LEFT JOIN c ON r.doc = c.doc WHERE c.cut IS NULL OR r.pg <= c.cut""")
 def early_stop(v):
     pages = (
-        v.lineitem.where("l_orderkey % 70 < 60")
-        .groupBy(F.col("l_partkey").alias("doc"), (F.col("l_orderkey") % 70).alias("page"))
+        v.lineitem.groupBy(F.col("l_partkey").alias("doc"), (F.col("l_orderkey") % 70).alias("page"))
         .agg(F.max((F.col("l_quantity") > 40).cast("int")).alias("found"))
     )
     order = Order(["doc"], ["page"], F.expr("page DIV 64"))
-    # dense page numbers of each document, at most 60
+    # dense page numbers of each document
     dense = running(pages, order, pg=("sum", F.lit(1))).withColumn("pg", F.col("pg") - 1).drop(CHUNK, "__hot")
     out = st.early_stop(dense, Order(["doc"], ["pg"], F.expr("pg DIV 64")), "pg", F.col("found"))
     return out.select("doc", "pg", "found")

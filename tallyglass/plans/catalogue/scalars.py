@@ -83,11 +83,9 @@ def strip_creds(v):
     return v.member_info.select("bioguide", nm.strip_credentials(s).alias("f"))
 
 
-@query("SELECT doc_id, trim(lower(strip_accents(regexp_extract(text, '^[^ ]*')))) AS w FROM documents WHERE lang IN ('en', 'fr', 'es')")
+@query("""SELECT doc_id, trim(regexp_replace(lower(strip_accents(text)), '[^\\x00-\\x7F]', '', 'g'), chr(32) || chr(10)) AS w FROM documents""")
 def norm_name(v):
-    return v.documents.where(F.col("lang").isin("en", "fr", "es")).select(
-        "doc_id", nm.fold_accents(F.regexp_extract("text", r"^[^ ]*", 0)).alias("w")
-    )
+    return v.documents.select("doc_id", nm.fold_accents("text").alias("w"))
 
 
 @query("""WITH t AS (SELECT id, CASE WHEN supp_key % 2 = 0 THEN last_name || ', Hon.. ' || first_name || ' B'
@@ -112,7 +110,14 @@ SELECT id, a || CASE WHEN b <> a THEN '|' || b ELSE '' END ||
   CASE WHEN w <> a AND w <> b THEN '|' || w ELSE '' END AS tries FROM c""")
 def name_words(v):
     return v.holdings.select(
-        "id", F.array_join(nm.name_candidates("first_name"), "|").alias("tries")
+        # every other name has a no-break space where the view has a blank
+        "id",
+        F.array_join(
+            F.transform(
+                nm.name_candidates(F.when(F.col("supp_key") % 2 == 0, F.translate("first_name", " ", "\u00a0")).otherwise(F.col("first_name"))),
+                lambda x: F.translate(x, "\u00a0", " "),
+            ), "|",
+        ).alias("tries")
     )
 
 
@@ -277,11 +282,14 @@ def value_range(v):
     return v.holdings.select("id", vl.value_range(code).alias("value"))
 
 
-@query("""SELECT id, CAST(CASE WHEN supp_key % 7 = 1 THEN '50000000' ELSE replace(regexp_extract(value, '\\$([0-9,]+)', 1), ',', '') END
-  AS DECIMAL(18,2)) AS lo, CASE WHEN supp_key % 7 = 1 THEN NULL ELSE
+@query("""SELECT id, CAST(CASE WHEN supp_key % 7 = 1 THEN '50000000' WHEN supp_key % 7 IN (2, 3) THEN '0' WHEN supp_key % 7 = 4 THEN '5000' ELSE replace(regexp_extract(value, '\\$([0-9,]+)', 1), ',', '') END
+  AS DECIMAL(18,2)) AS lo, CASE WHEN supp_key % 7 = 1 THEN NULL WHEN supp_key % 7 IN (2, 3) THEN CAST('1001' AS DECIMAL(18,2))
+  WHEN supp_key % 7 = 4 THEN CAST('5000' AS DECIMAL(18,2)) WHEN value LIKE 'Over%' THEN NULL ELSE
   CAST(replace(regexp_extract(value, '- \\$([0-9,]+)', 1), ',', '') AS DECIMAL(18,2)) END AS hi FROM holdings_v""")
 def range_bounds(v):
-    b = vl.range_bounds(F.when(F.col("supp_key") % 7 == 1, "Over $50,000,000").otherwise(F.col("value")))
+    k = F.col("supp_key") % 7
+    text = F.when(k == 1, "Over $50,000,000").when(k == 2, "None / <$1,001").when(k == 3, "None (or less than $1,001)")
+    b = vl.range_bounds(text.when(k == 4, "$5,000").otherwise(F.col("value")))
     return v.holdings.select("id", b["lo"].alias("lo"), b["hi"].alias("hi"))
 
 
@@ -297,10 +305,10 @@ def tx_type(v):
 
 
 @query("""SELECT id, CASE id % 6 WHEN 0 THEN 'Purchase' WHEN 1 THEN 'Sale (Full)' WHEN 2 THEN 'Sale (Full)' WHEN 3 THEN 'Exchange'
-  WHEN 4 THEN 'Gift' ELSE 'Purchase' END AS transaction_type FROM transactions_v""")
+  WHEN 4 THEN CASE WHEN id % 12 = 4 THEN 'Gift' ELSE 'Gift (In-Kind)' END ELSE 'Purchase' END AS transaction_type FROM transactions_v""")
 def tx_type_judicial(v):
     words = F.array(*[F.lit(w) for w in ("Buy", "SOLD", "redeemed", "exchange", "gift", "purchase")])
-    word = F.get(words, (F.col("id") % 6).cast("int"))
+    word = F.when(F.col("id") % 12 == 10, "gift (in-kind)").otherwise(F.get(words, (F.col("id") % 6).cast("int")))
     return v.transactions.select("id", vl.tx_type_judicial(word).alias("transaction_type"))
 
 

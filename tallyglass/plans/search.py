@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -101,10 +102,25 @@ def sort_order(column: str, direction: str, allowed: list[str], default: list[Co
     return [*default, F.col("id")]
 
 
-def page(df: DataFrame, order: list[Column], limit: int, offset: int, most: int) -> DataFrame:
-    """Sort with limit and offset: each task keeps its best rows, no full sort."""
-    size = most if limit < 0 else min(limit, most)
-    return df.orderBy(*order).offset(max(offset, 0)).limit(size)
+def page(df: DataFrame, order: list[Column], limit: int, offset: int, most: int | None = None) -> DataFrame:
+    """Sort with limit and offset: each task keeps its best rows, no full sort.
+
+    ``most`` is a cap of the caller's own; a request above it, or a negative
+    number, is an error and not another page.
+    """
+    if limit < 0 or offset < 0 or (most is not None and limit > most):
+        raise ValueError(f"limit {limit} and offset {offset} must not be negative, limit at most {most}")
+    return df.orderBy(*order).offset(offset).limit(limit)
+
+
+def _page_of(
+    base: DataFrame, members: DataFrame, joined: list, order: list[Column], limit: int, offset: int, most: int | None
+) -> DataFrame:
+    """One page with its member columns; without member filters only the page's rows meet the member table."""
+    kept = [j for j in joined if j is not None]
+    if kept:
+        return page(_where(with_member(base, members), kept), order, limit, offset, most)
+    return with_member(page(base, order, limit, offset, most), members).orderBy(*order)
 
 
 def _count(df: DataFrame) -> DataFrame:
@@ -129,7 +145,7 @@ def stats(holdings: DataFrame) -> dict[str, DataFrame]:
 def search_holdings(
     holdings: DataFrame, members: DataFrame, *, member: str = "", asset: str = "",
     chamber: str = "", asset_type: str = "", party: str = "", state: str = "",
-    sort_col: str = "", sort_dir: str = "asc", limit: int = 500, offset: int = 0,
+    sort_col: str = "", sort_dir: str = "asc", limit: int = 500, offset: int = 0, most: int | None = None,
 ) -> Page:
     own = [
         not_legend(),
@@ -150,7 +166,7 @@ def search_holdings(
         sort_col, sort_dir, fv.HOLDING_SORT_COLUMNS,
         [F.asc_nulls_first(c) for c in ("chamber", "last_name", "first_name")],
     )
-    top = page(found, order, limit, offset, 2000)
+    top = _page_of(base, members, joined, order, limit, offset, most)
     return Page(total, top.select(*_HOLDING_OUT, *_member_out()))
 
 
@@ -176,7 +192,7 @@ def search_transactions(
     transactions: DataFrame | None, members: DataFrame, *, member: str = "", asset: str = "",
     asset_type: str = "", chamber: str = "", tx_type: str = "", date_from: str = "",
     date_to: str = "", party: str = "", state: str = "", sort_col: str = "",
-    sort_dir: str = "desc", limit: int = 500, offset: int = 0,
+    sort_dir: str = "desc", limit: int = 500, offset: int = 0, most: int | None = None,
 ) -> Page:
     if transactions is None:
         spark = members.sparkSession
@@ -207,7 +223,7 @@ def search_transactions(
         sort_col, sort_dir, fv.TRANSACTION_SORT_COLUMNS,
         [F.desc_nulls_last("transaction_date"), F.asc_nulls_first("last_name")],
     )
-    top = page(found, order, limit, offset, 5000)
+    top = _page_of(base, members, joined, order, limit, offset, most)
     return Page(total, top.select(*_TX_OUT, *_member_out()))
 
 
@@ -236,7 +252,7 @@ def export_holdings(
 
 def browse_members(
     holdings: DataFrame, members: DataFrame, *, q: str = "", chamber: str = "", state: str = "",
-    party: str = "", limit: int | None = 600,
+    party: str = "", limit: int | None = None,
 ) -> DataFrame:
     """Distinct canonical names, ordered by the least raw last name behind each."""
     base = _where(
@@ -282,6 +298,10 @@ def asset_types(holdings: DataFrame) -> DataFrame:
 
 # -- read-only SQL -----------------------------------------------------------
 
+# Spark's functions that reach any public JVM method.
+_CALLS_OUT = re.compile(r"\b(?:java_method|reflect|try_reflect)\s*\(", re.I)
+
+
 class NotASelect(ValueError):
     """The statement would do more than read."""
 
@@ -290,8 +310,10 @@ def run_select(spark: SparkSession, sql: str, args: dict | None = None) -> DataF
     """Run one SELECT over the registered views.
 
     Spark's own grammar decides what a query is, so a WITH in front of an
-    INSERT is refused although its text starts like a read.  Columns that share
-    a name get a numbered suffix.
+    INSERT is refused although its text starts like a read.  Files cannot be
+    named as tables, and functions that call into the JVM are refused wherever
+    they stand in the analysed plan, subqueries included.  Columns that share a
+    name get a numbered suffix.
     """
     text = sql.strip().lstrip(";").strip().rstrip(";").strip()
     parser = spark._jsparkSession.sessionState().sqlParser()
@@ -302,7 +324,14 @@ def run_select(spark: SparkSession, sql: str, args: dict | None = None) -> DataF
         raise NotASelect("only SELECT statements are allowed") from e
     if as_query != as_statement:
         raise NotASelect("only SELECT statements are allowed")
-    df = spark.sql(text, args=args) if args else spark.sql(text)
+    before = spark.conf.get("spark.sql.runSQLOnFiles")
+    spark.conf.set("spark.sql.runSQLOnFiles", "false")
+    try:
+        df = spark.sql(text, args=args) if args else spark.sql(text)
+    finally:
+        spark.conf.set("spark.sql.runSQLOnFiles", before)
+    if _CALLS_OUT.search(df._jdf.queryExecution().analyzed().toString()) or _CALLS_OUT.search(text):
+        raise NotASelect("functions that call into the JVM are not allowed")
     names = [c.lower() for c in df.columns]
     if len(set(names)) < len(names):
         df = df.toDF(*_distinct_names(df.columns))

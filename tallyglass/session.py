@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,15 +42,45 @@ def build_session(master: str | None = None, app: str = "tallyglass", **extra: s
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for tables a job writes and reads back.
 
-    Uses the shared folder named by ``spark.checkpoint.dir``.  Only a local
-    session without that setting falls back to the machine's own temp folder.
+    Uses the shared folder named by ``spark.checkpoint.dir``.  Only a session
+    whose tasks all run in the driver's own process falls back to a temp folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tallyglass-")
-    return os.path.join(base, "tallyglass", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(base, "tallyglass", f"{name}-{uuid.uuid4().hex}")
+    for owned in _AREAS:
+        owned.append(path)
+    return path
+
+
+_AREAS: list[list[str]] = []
+
+
+@contextmanager
+def work_area(spark: SparkSession) -> Iterator[None]:
+    """Owns the work tables made inside it and removes them at the end.
+
+    Frames built inside read those tables, so write or collect results before
+    leaving.
+    """
+    owned: list[str] = []
+    _AREAS.append(owned)
+    try:
+        yield
+    finally:
+        # By identity: two areas without tables are equal lists.
+        _AREAS[:] = [a for a in _AREAS if a is not owned]
+        for path in owned:
+            remove_tree(spark, path)
+
+
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

@@ -108,7 +108,11 @@ def test_sorting_and_paging(holdings, members):
     assert find(sort_col="asset", limit=3) == [1, 7, 5]
     assert find(sort_col="asset", sort_dir="desc", limit=2) == [2, 3]
     assert find(sort_col="asset; DROP TABLE x", limit=2) == find(limit=2) == [5, 6]
-    everything = find(limit=-1)
+    everything = find()
+    for wrong in ({"limit": -1}, {"offset": -1}, {"limit": 9, "most": 8}):
+        with pytest.raises(ValueError):
+            find(**wrong)
+    assert find(limit=8, most=8) == everything[:8]
     assert find(limit=4) + find(limit=4, offset=4) + find(limit=4, offset=8) == everything
 
 

@@ -58,7 +58,7 @@ def test_stream_takes_each_file_once(spark, tmp_path):
 def test_new_files(spark):
     listed = spark.createDataFrame([("a", 900), ("b", 100), ("c", 900)], "doc_id string, length int")
     done = spark.createDataFrame([("c",)], "doc_id string")
-    assert rows(inc.new_files(listed, done)) == [("a", 900)]
+    assert rows(inc.new_files(listed, done, min_bytes=100)) == [("a", 900)]
 
 
 def test_house_roster_file(spark, tmp_path):
