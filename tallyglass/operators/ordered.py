@@ -1,11 +1,10 @@
 """Order-dependent work inside documents, safe when one document is huge.
 
-A plain window over a document puts the whole document in one task.  Here a
-document above ``limit`` rows is cut into chunks along its own order: each
-chunk runs its window alone, the chunk totals (one row per chunk) are run over
-in turn, and the carried value is joined back.  Documents under the limit keep
-the single-window plan, and when there are no large ones the carry side is
-empty and AQE drops it at run time.
+A plain window over a document puts the whole document in one task.  Here every
+document is cut into chunks along its own order: each chunk runs its window
+alone, the chunk totals (one row per chunk) are run over in turn, and the
+carried value is joined back.  The plan is the same for all sizes; a document
+shorter than a chunk is one chunk without a carry.
 """
 
 from __future__ import annotations
@@ -15,47 +14,38 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_TASK = 1_000_000
 CHUNK = "__chunk"
-_HOT = "__hot"
 
 
 @dataclass(frozen=True)
 class Order:
     """How rows line up inside a document.
 
-    ``chunk`` must be a BIGINT expression that never falls as the order grows,
-    e.g. ``page DIV 32``; it is used for documents above ``limit`` rows only.
+    The leading order column (a whole number) is cut every ``cut`` values; with
+    ``fine``, every value of it is a cut and the second column is cut every
+    ``fine`` values.  So chunks follow from the order and cannot contradict it.
     """
 
     keys: list[str]
     by: list[str]
-    chunk: Column
-    limit: int = ROWS_PER_TASK
+    cut: int = 65536
+    fine: int | None = None
 
     def position(self) -> Column:
         return F.struct(*[F.col(c) for c in self.by])
 
     def within(self, *extra: str) -> "Order":
-        return Order([*self.keys, *extra], self.by, self.chunk, self.limit)
+        return Order([*self.keys, *extra], self.by, self.cut, self.fine)
+
+    def chunk(self) -> Column:
+        if self.fine is None:
+            return F.floor(F.col(self.by[0]) / self.cut).cast("bigint")
+        return (F.col(self.by[0]) * (1 << 40) + F.floor(F.col(self.by[1]) / self.fine)).cast("bigint")
 
 
 def mark_chunks(df: DataFrame, order: Order) -> DataFrame:
-    """Add ``__chunk``: 0 everywhere but in documents above the limit."""
-    if CHUNK in df.columns:
-        return df
-    # At most (rows / limit) keys pass; Spark checks the size before it broadcasts them.
-    hot = (
-        df.groupBy(*order.keys)
-        .count()
-        .where(F.col("count") > order.limit)
-        .select(*order.keys, F.lit(True).alias(_HOT))
-    )
-    return (
-        df.join(hot, order.keys, "left")
-        .withColumn(CHUNK, F.when(F.col(_HOT), order.chunk).otherwise(F.lit(0)).cast("bigint"))
-        .withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
-    )
+    """Add ``__chunk``."""
+    return df if CHUNK in df.columns else df.withColumn(CHUNK, order.chunk())
 
 
 def by_document(df: DataFrame, order: Order) -> DataFrame:
@@ -110,7 +100,7 @@ def running(df: DataFrame, order: Order, **values: tuple[str, Column]) -> DataFr
         else:
             total = _joined(order.position(), c)
         totals.append(total.alias(n))
-    per_chunk = base.where(F.col(_HOT)).groupBy(*order.keys, CHUNK).agg(*totals)
+    per_chunk = base.groupBy(*order.keys, CHUNK).agg(*totals)
     before = (
         Window.partitionBy(*order.keys)
         .orderBy(CHUNK)
@@ -194,36 +184,15 @@ def fold(
     )
 
 
-def number_rows(
-    df: DataFrame,
-    by: list[str],
-    block: Column,
-    name: str = "id",
-    fine: Column | None = None,
-    limit: int = ROWS_PER_TASK,
-) -> DataFrame:
+def number_rows(df: DataFrame, by: list[str], block: Column, name: str = "id", fine: Column | None = None) -> DataFrame:
     """Dense ids from 1 over the whole table without a global sort task.
 
-    ``block`` is a BIGINT that never falls as the order grows and normally
-    keeps a block to a task's worth of rows.  A block above ``limit`` rows is
-    cut again by ``fine``, which must never fall within a block.  Rows are
-    numbered inside their cut and shifted by the count of all rows before it.
+    ``block`` is a BIGINT that never falls as the order grows; ``fine``, if
+    given, cuts a block again and must never fall within it.  Rows are numbered
+    inside their cut and shifted by the count of all rows before it.
     """
     cut = ["__block", "__cut"]
-    blocked = df.withColumn("__block", block.cast("bigint"))
-    if fine is None:
-        blocked = blocked.withColumn("__cut", F.lit(0).cast("bigint"))
-    else:
-        # At most (rows / limit) blocks pass; Spark checks the size before it broadcasts them.
-        big = (
-            blocked.groupBy("__block").count().where(F.col("count") > limit)
-            .select("__block", F.lit(True).alias("__big"))
-        )
-        blocked = (
-            blocked.join(big, "__block", "left")
-            .withColumn("__cut", F.when(F.col("__big"), fine).otherwise(F.lit(0)).cast("bigint"))
-            .drop("__big")
-        )
+    blocked = df.withColumn("__block", block.cast("bigint")).withColumn("__cut", (F.lit(0) if fine is None else fine).cast("bigint"))
     local = blocked.withColumn(
         name, F.row_number().over(Window.partitionBy(*cut).orderBy(*by)).cast("bigint")
     )

@@ -329,7 +329,7 @@ def _strip_markers(text: Column, times: Column) -> Column:
     return F.when(times <= 1, once).otherwise(more)
 
 
-def inherit_names(entries: DataFrame, keys: list[str], drop_arrows: bool, limit: int = 1_000_000) -> DataFrame:
+def inherit_names(entries: DataFrame, keys: list[str], drop_arrows: bool, cut: int = 65536) -> DataFrame:
     """Give unnamed entries the name of the entry kept before them.
 
     The input holds only the entries that will be kept.  A name grows by the
@@ -342,7 +342,7 @@ def inherit_names(entries: DataFrame, keys: list[str], drop_arrows: bool, limit:
     if drop_arrows:
         heads = heads | F.coalesce(F.contains("more", F.lit("⇒")), F.lit(False))
         text = F.regexp_replace(text, r"^.*⇒\s*", "")
-    order = Order(keys, ["entry"], F.expr("entry DIV 65536"), limit)
+    order = Order(keys, ["entry"], cut)
     piece = tx.strip_all(text)
     rows = settle(entries, "entries").withColumns(
         {
@@ -365,7 +365,7 @@ def inherit_names(entries: DataFrame, keys: list[str], drop_arrows: bool, limit:
         total={"passes": F.lit(1)},
     ).select(*keys, "island", "part", "text", "start", "passes")
     final = F.when(F.col("text").isNotNull(), _strip_markers(F.col("text"), F.col("passes")))
-    by_part = Order([*keys, "island"], ["part"], F.expr("part DIV 65536"), limit)
+    by_part = Order([*keys, "island"], ["part"], cut)
     parts = parts.withColumn("final", final)
     parts = running(parts, by_part, upto=("concat", F.nullif(F.col("final"), F.lit(""))))
     # Text of the parts before this one: the running text without its own end.
@@ -373,7 +373,7 @@ def inherit_names(entries: DataFrame, keys: list[str], drop_arrows: bool, limit:
         F.coalesce(F.col("final"), F.lit("")) == "", F.col("upto")
     ).otherwise(F.expr("substring(upto, 1, greatest(length(upto) - length(final) - 1, 0))"))
     parts = parts.select(*keys, "island", "part", "text", "start", before.alias("before"))
-    named = rows.drop(CHUNK, "__hot").join(parts, [*keys, "island", "part"])
+    named = rows.drop(CHUNK).join(parts, [*keys, "island", "part"])
     current = _strip_markers(F.col("text"), (F.col("seen") - F.col("start") + 1))
     name = F.concat_ws(
         " ", F.nullif(F.col("before"), F.lit("")), F.nullif(current, F.lit(""))
@@ -395,7 +395,7 @@ def judicial_holdings(lines: DataFrame, order: Order) -> DataFrame:
     entries = judicial_entries(lines, order).where(
         _real_number() & ((F.col("value_code") != "") | (F.col("income_code") != ""))
     )
-    named = inherit_names(entries, order.keys, drop_arrows=True, limit=order.limit)
+    named = inherit_names(entries, order.keys, drop_arrows=True)
     return named.select(
         *order.keys,
         "entry",
@@ -408,7 +408,7 @@ def judicial_holdings(lines: DataFrame, order: Order) -> DataFrame:
 
 def judicial_transactions(lines: DataFrame, order: Order) -> DataFrame:
     entries = judicial_entries(lines, order).where(_real_number() & (F.col("tx_date") != ""))
-    return inherit_names(entries, order.keys, drop_arrows=False, limit=order.limit).select(
+    return inherit_names(entries, order.keys, drop_arrows=False).select(
         *order.keys,
         "entry",
         vl.normalize_date("tx_date").alias("transaction_date"),
@@ -754,5 +754,5 @@ def early_stop(
     return (
         stops.join(cut, order.keys, "left")
         .where(F.col("__cut").isNull() | (F.col(page) <= F.col("__cut")))
-        .drop("__seen", "__last", "__found", "__stop", "__cut", CHUNK, "__hot")
+        .drop("__seen", "__last", "__found", "__stop", "__cut", CHUNK)
     )

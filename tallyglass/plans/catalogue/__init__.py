@@ -28,7 +28,7 @@ def query(oracle: str | None = None, name: str | None = None):
 
 
 def _load() -> None:
-    from . import aggregates, facets, people, records, scalars, scans  # noqa: F401
+    from . import aggregates, facets, people, records, scalars, scans, tables  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

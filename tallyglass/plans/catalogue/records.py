@@ -19,6 +19,13 @@ _AT = ["doc_id", "page", "table_no", "row_no"]
 # -- one row at a time -------------------------------------------------------
 
 
+def query_sql(name: str) -> str:
+    """The oracle of one of the queries below, to be part of another."""
+    from . import _ORACLES
+
+    return _ORACLES[name]
+
+
 @query(f"""WITH {HOUSE_ROWS} SELECT doc_id, page, table_no, row_no, header,
   regexp_matches(lower(concat_ws('|', c0, c1, c2, c3, c4, c5)), 'transaction|amount') AS ptr FROM house5""")
 def header_class(v):
@@ -333,8 +340,8 @@ def early_stop(v):
         v.lineitem.groupBy(F.col("l_partkey").alias("doc"), (F.col("l_orderkey") % 70).alias("page"))
         .agg(F.max((F.col("l_quantity") > 40).cast("int")).alias("found"))
     )
-    order = Order(["doc"], ["page"], F.expr("page DIV 64"))
+    order = Order(["doc"], ["page"], 64)
     # dense page numbers of each document
-    dense = running(pages, order, pg=("sum", F.lit(1))).withColumn("pg", F.col("pg") - 1).drop(CHUNK, "__hot")
-    out = st.early_stop(dense, Order(["doc"], ["pg"], F.expr("pg DIV 64")), "pg", F.col("found"))
+    dense = running(pages, order, pg=("sum", F.lit(1))).withColumn("pg", F.col("pg") - 1).drop(CHUNK)
+    out = st.early_stop(dense, Order(["doc"], ["pg"], 64), "pg", F.col("found"))
     return out.select("doc", "pg", "found")

@@ -386,12 +386,9 @@ class Views:
 
 
 # Document order of each line or cell view; chunks follow the leading columns.
-def cell_order(limit: int = 1_000_000) -> Order:
-    return Order(
-        ["doc_id"], ["page", "table_no", "row_no"],
-        F.expr("page * 1099511627776 + table_no DIV 65536"), limit,
-    )
+def cell_order(fine: int = 65536) -> Order:
+    return Order(["doc_id"], ["page", "table_no", "row_no"], fine=fine)
 
 
-def line_order(limit: int = 1_000_000) -> Order:
-    return Order(["doc_id"], ["p", "t", "u"], F.expr("p DIV 65536"), limit)
+def line_order(cut: int = 65536) -> Order:
+    return Order(["doc_id"], ["p", "t", "u"], cut)

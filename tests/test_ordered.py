@@ -33,7 +33,7 @@ def docs(spark):
 
 @pytest.mark.parametrize("limit", [10, 1_000_000])
 def test_running_values(docs, limit):
-    order = Order(["doc"], ["pos"], F.expr("pos DIV 7"), limit)
+    order = Order(["doc"], ["pos"], limit)
     got = running(
         docs, order, s=("sum", F.col("n")), m=("max", F.col("n")), last=("last", F.nullif("text", F.lit(""))),
         all=("concat", F.nullif("text", F.lit(""))),
@@ -50,7 +50,7 @@ def test_running_values(docs, limit):
 
 
 def test_chunks_only_for_large_documents(docs):
-    order = Order(["doc"], ["pos"], F.expr("pos DIV 7"), 50)
+    order = Order(["doc"], ["pos"], 7)
     chunks = {
         (r.doc, r.n)
         for r in mark_chunks(docs, order).groupBy("doc").agg(F.countDistinct(CHUNK).alias("n")).collect()
@@ -60,7 +60,7 @@ def test_chunks_only_for_large_documents(docs):
 
 @pytest.mark.parametrize("limit", [10, 1_000_000])
 def test_fold_keeps_order_blanks_and_skips_nulls(docs, limit):
-    order = Order(["doc"], ["pos"], F.expr("pos DIV 7"), limit)
+    order = Order(["doc"], ["pos"], limit)
     got = fold(
         mark_chunks(docs, order), ["doc"], order.position(), concat={"t": F.col("text")},
         first={"f": F.col("text")}, last={"l": F.col("text")}, total={"n": F.col("n")}, sep="|",
@@ -88,12 +88,8 @@ def test_parsers_do_not_depend_on_the_limit(spark, name):
     }[name]
     parse = getattr(st, name)
 
-    def chunked():
-        o = order(5)
-        # chunks small enough that every document is cut many times
-        lead = "table_no" if "table_no" in o.by else "p"
-        fine = F.expr("page * 1099511627776 + table_no DIV 64") if lead == "table_no" else F.expr("p DIV 64")
-        return Order(o.keys, o.by, fine, 5)
+    # cuts small enough that every document is cut many times
+    chunked = lambda: order(64)
 
     plain = parse(src, order())
     cols = plain.columns
@@ -103,8 +99,8 @@ def test_parsers_do_not_depend_on_the_limit(spark, name):
 def test_number_rows_is_dense_and_ordered(spark):
     df = spark.range(0, 5000, 3).withColumn("k", F.pmod(F.xxhash64("id"), F.lit(100000)))
     df = df.unionByName(spark.range(10_000, 10_300).withColumn("k", F.lit(5).cast("bigint")))  # a hot block
-    for fine, limit in ((None, 1_000_000), (F.expr("k * 100000 + id DIV 7"), 20)):
-        got = number_rows(df, ["k", "id"], F.expr("k DIV 37"), "no", fine, limit).orderBy("no").collect()
+    for fine in (None, F.expr("k * 100000 + id DIV 7")):
+        got = number_rows(df, ["k", "id"], F.expr("k DIV 37"), "no", fine).orderBy("no").collect()
         assert [r.no for r in got] == list(range(1, len(got) + 1))
         assert [(r.k, r.id) for r in got] == sorted((r.k, r.id) for r in got)
 
@@ -154,7 +150,7 @@ def test_inherited_names_match_a_walk(spark, arrows):
         want += [(f"d{doc}", e, n) for e, n in _walk(entries, arrows)]
     df = spark.createDataFrame(rows, "doc_id string, entry bigint, own string, more string")
     for limit in (3, 1_000_000):
-        got = st.inherit_names(df, ["doc_id"], drop_arrows=arrows, limit=limit)
+        got = st.inherit_names(df, ["doc_id"], drop_arrows=arrows, cut=limit)
         got = sorted(map(tuple, got.select("doc_id", "entry", "asset").collect()))
         diff = [(a, b) for a, b in zip(got, sorted(want)) if a != b]
         assert len(got) == len(want) and not diff, diff[:3]
