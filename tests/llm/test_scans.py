@@ -131,10 +131,10 @@ def test_encoder_equals_whole_encoding(vocabulary, doc_rows, spark):
     tok.encode_special_tokens = True
     texts = [r[1] or "" for r in doc_rows] + ["I'm he's\nwe'll 'tis 'S a'd b.\nC 12 3.4 <|endoftext|> x", " a", "a ", "a\n", "\na", "a  b", "a \nb", "ß x", "漢字 仮名\n🙂 x"]
     texts += [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
-    encode = packing.Encoder(open(vocabulary, encoding="utf-8").read(), keep=50)
-    got = [x for i in range(0, len(texts), 40) for x in encode(texts[i : i + 40])]
-    for t, g in zip(texts, got):
-        assert np.frombuffer(g, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+    texts += ["".join(map(chr, range(1, 0x3000))), "".join(chr(c) + "a " for c in range(0x2000, 0x2070)), "\u00a0\u2003 \u3000x\x85\x1c\x1d y", "ab" * 3000]
+    encode = packing.Encoder(open(vocabulary, encoding="utf-8").read())
+    for t in texts:
+        assert np.frombuffer(encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
 def test_closest_against_all_subsets():
@@ -180,7 +180,7 @@ def test_packing_is_whole_and_tight(docs, doc_rows, vocabulary, hold, no_docs):
 
 
 def test_query_strings(spark):
-    got = queries.op7_secret_scan(spark, "/root/testdata/sf0.001").where("spans != ''").collect()
+    got = queries.op7_secret_scan(spark, "/root/testdata/sf0.01").where("spans != ''").collect()
     assert got
     for r in got:
         own = [s.split(":") for s in r.spans.split(",")]
