@@ -282,12 +282,11 @@ def browse_members(
         .groupBy("last_name", "first_name", "chamber", "state", "party")
         .agg(F.min("raw_last").alias("raw_last"))
     )
-    if limit is not None:
-        names = names.orderBy(
-            F.asc_nulls_first("raw_last"),
-            *[F.asc_nulls_first(c) for c in ("last_name", "first_name", "chamber", "state", "party")],
-        ).limit(limit)
-    return names.drop("raw_last")
+    names = names.orderBy(
+        F.asc_nulls_first("raw_last"),
+        *[F.asc_nulls_first(c) for c in ("last_name", "first_name", "chamber", "state", "party")],
+    )
+    return (names if limit is None else names.limit(limit)).drop("raw_last")
 
 
 def asset_types(holdings: DataFrame) -> DataFrame:
