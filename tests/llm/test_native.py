@@ -5,7 +5,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
-from conftest import DOCS  # noqa: F401  (the folder's own)
+from .conftest import DOCS  # noqa: F401  (the folder's own)
 from pyspark.sql import functions as F
 
 from tallyglass.llm import line_dedup, mixing, sharding

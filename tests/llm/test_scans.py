@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import plain_words
+from .conftest import plain_words
 from pyspark.sql import functions as F
 
 from tallyglass.llm import packing, quality, queries, secrets
