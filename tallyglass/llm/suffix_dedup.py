@@ -10,11 +10,12 @@ else goes.  Only regions that can hold such a string reach a suffix array:
 2. Contexts.  An anchor's context is all that strings with that anchor can
    cover.  Anchors with equal contexts are one class; a class with two members
    or more is repeated wherever it can be, and one member stands for it.
-3. Suffix arrays.  The contexts that share a core become strings over 16-byte
+3. Suffix arrays.  The contexts that share a core become strings over 40-byte
    blocks, the core being one symbol.  :func:`suffix_array` sorts all their
    suffixes; a suffix's longest match is with a neighbour in that order.  Where
    it is long enough to hold a repeated string that starts in the block before
-   it, and only there, the strings of that block are compared byte by byte.
+   it, and only there, the strings that start in that block are looked up by
+   their hashes, and the outermost ones compared byte by byte.
 
 A core shared by more than ``MOST`` different contexts is not brought into one
 task: its strings are spread by their start and their hash and counted.
@@ -27,8 +28,8 @@ ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +39,9 @@ from pyspark.sql import functions as F
 
 from .common import settle
 
-LENGTH, WINDOW, BLOCK, MOST = 400, 200, 16, 20_000
+LENGTH, WINDOW, BLOCK, MOST = 400, 200, 40, 20_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_VALUES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)
 
 
 # --- the suffix array ---------------------------------------------------------------------------
@@ -171,6 +173,11 @@ def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(task, "core long, context long, ref long, n int, pos int")
 
 
+@lru_cache
+def _weights(n: int) -> np.ndarray:
+    return np.random.default_rng(12).integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 # --- one group of contexts ----------------------------------------------------------------------
 
 
@@ -210,10 +217,11 @@ def neighbour_matches(symbols: list[int], distance: np.ndarray, pieces: list, co
         stop_i[live[~same]], stop_j[live[~same]] = i[~same], j[~same]
         shared[live[same]] += width[i[same]]
         live, i, j = live[same], i[same] + 1, j[same] + 1
-    for k in np.flatnonzero(shared >= core):  # the rest of the first blocks that differ
+    for k in np.flatnonzero(shared >= core).tolist():  # the rest of the first blocks that differ
         x, y = pieces[stop_i[k]], pieces[stop_j[k]]
         if type(x) is bytes and type(y) is bytes:
-            shared[k] += next((t for t, (u, v) in enumerate(zip(x, y)) if u != v), min(len(x), len(y)))
+            n = min(len(x), len(y))
+            shared[k] += n - ((int.from_bytes(x[:n]) ^ int.from_bytes(y[:n])).bit_length() + 7) // 8
     best = np.zeros(len(symbols), np.int64)
     np.maximum.at(best, a, shared)
     np.maximum.at(best, b, shared)
@@ -228,33 +236,48 @@ def repeated_starts(members: list[tuple[int, bytes, int]], wanted: list[bool], l
     core = length - WINDOW + 1
     symbols, owner, distance, pieces = symbols_of(members, core)
     best = neighbour_matches(symbols, distance, pieces, core)
-    hopeful: dict[int, list[int]] = {}
-    for k in np.flatnonzero((distance >= 0) & (best > length - BLOCK)).tolist():
-        if wanted[owner[k]]:
-            hopeful.setdefault(int(owner[k]), []).append(int(distance[k]))
-    groups: dict[int, list[int]] = {}
-    if hopeful:
-        for m, x in enumerate(members):
-            groups.setdefault(x[0], []).append(m)
-    strings: dict[tuple[int, int], Counter] = {}
-
-    def repeated(m: int, d: int) -> bool:
-        group, text, left = members[m]
-        if (group, d) not in strings:
-            found = Counter()
-            for other in groups[group]:
-                _, t, own = members[other]
-                if own >= d and len(t) - own + d >= length:
-                    found[t[own - d : own - d + length]] += 1
-            strings[group, d] = found
-        return left >= d and len(text) - left + d >= length and strings[group, d][text[left - d : left - d + length]] > 1
-
-    out: list[tuple[int, int] | None] = [None] * len(members)
-    for m, blocks in hopeful.items():
-        low = next((d for j in sorted(blocks) for d in range(j, min(j + BLOCK, WINDOW)) if repeated(m, d)), None)
-        if low is not None:
-            high = next(d for j in sorted(blocks, reverse=True) for d in range(min(j + BLOCK, WINDOW) - 1, j - 1, -1) if repeated(m, d))
-            out[m] = (low, high)
+    n, out = len(members), [None] * len(members)
+    hopeful = np.zeros((n, -(-WINDOW // BLOCK)), bool)
+    at = np.flatnonzero((distance >= 0) & (best > length - BLOCK))
+    hopeful[owner[at], distance[at] // BLOCK] = True
+    hopeful &= np.array(wanted)[:, None]
+    if not hopeful.any():
+        return out
+    # Hashes of all strings around an anchor, as differences of running sums; strings at one distance line up.
+    span = WINDOW - 1
+    group = np.unique(np.array([m[0] for m in members]), return_inverse=True)[1].astype(np.uint64) * _MIX
+    left = np.array([m[2] for m in members])
+    right = np.array([len(m[1]) - m[2] for m in members])
+    rows = np.frombuffer(b"".join((bytes(span - k) + t).ljust(span + length, b"\0") for _, t, k in members), np.uint8).reshape(n, span + length)
+    sums = np.zeros((n, span + length + 1), np.uint64)
+    np.cumsum(_VALUES[rows] * _weights(span + length), axis=1, out=sums[:, 1:])
+    low, high, low_with, high_with = (np.full(n, -1) for _ in range(4))
+    for d in range(WINDOW):
+        hope = hopeful[:, d // BLOCK]
+        whole = np.flatnonzero((left >= d) & (right + d >= length))
+        if len(whole) < 2 or not hope[whole].any():
+            continue
+        keys = (sums[whole, span - d + length] - sums[whole, span - d]) ^ group[whole]
+        order = np.argsort(keys, kind="stable")
+        keys, who = keys[order], whole[order]
+        same = np.flatnonzero(keys[1:] == keys[:-1])
+        x, y = np.concatenate([who[same], who[same + 1]]), np.concatenate([who[same + 1], who[same]])
+        x, y = x[hope[x]], y[hope[x]]
+        high[x], high_with[x] = d, y
+        new = low[x] < 0
+        low[x[new]], low_with[x[new]] = d, y[new]
+
+    def string(m: int, d: int) -> bytes:
+        return members[m][1][members[m][2] - d : members[m][2] - d + length]
+
+    for m in np.flatnonzero(low >= 0).tolist():
+        ends = [(int(low[m]), int(low_with[m])), (int(high[m]), int(high_with[m]))]
+        if all(members[m][0] == members[o][0] and string(m, d) == string(o, d) for d, o in ends):
+            out[m] = ends[0][0], ends[1][0]
+        else:  # two strings with one hash: all others of the group, byte by byte
+            others = [o for o in range(n) if o != m and members[o][0] == members[m][0]]
+            real = [d for d in range(min(WINDOW, left[m] + 1)) if hopeful[m, d // BLOCK] and right[m] + d >= length and any(left[o] >= d and string(o, d) == string(m, d) for o in others)]
+            out[m] = (real[0], real[-1]) if real else None
     return out
 
 
