@@ -98,14 +98,19 @@ def quote_links(parsed: DataFrame) -> DataFrame:
 
 
 def threads(parents: DataFrame) -> DataFrame:
-    """key, parent, root, depth from key and parent (null at a root), by doubling the distance looked up each round."""
-    state = settle(parents.select("key", "parent", F.coalesce("parent", "key").alias("up"), F.col("parent").isNotNull().cast("int").alias("depth")), "threads")
-    while True:
-        over = state.select(F.col("key").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
-        ahead = settle(state.join(over, "up").select("key", "parent", F.col("up2").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moved")), "threads")
-        state = ahead.drop("moved")
-        if ahead.where("moved").isEmpty():
-            return state.withColumnRenamed("up", "root")
+    """key, parent, root, depth from key and parent (null at a root), by doubling the distance looked up each round.
+
+    Messages whose root is known take no part in later rounds except to be looked up.
+    """
+    root = F.col("parent").isNull()
+    state = settle(parents.select("key", "parent", F.coalesce("parent", "key").alias("up"), F.when(root, 0).otherwise(1).alias("depth"), root.alias("known")), "threads")
+    active = state.where("NOT known")
+    while not active.isEmpty():
+        over = state.select(F.col("key").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"), F.col("known").alias("known2"))
+        ahead = settle(active.drop("known").join(over, "up").select("key", "parent", F.col("up2").alias("up"), (F.col("depth") + F.col("more")).alias("depth"), F.col("known2").alias("known")), "threads")
+        state = state.where("known").unionAll(ahead)
+        active = ahead.where("NOT known")
+    return state.select("key", "parent", F.col("up").alias("root"), "depth")
 
 
 def conversations(messages: DataFrame, scope: str = "conv_id", seq: str = "turn") -> DataFrame:
