@@ -43,20 +43,27 @@ PROBE_COST = 20
 _BYTE_BITS = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
-def fingerprint(text: bytes | None) -> int:
+def shingle_hashes(text: bytes | None, width: int = 3) -> np.ndarray:
+    """Hash of each shingle of ``width`` words; a shorter text is one shingle."""
     words = text.lower().split() if text else []
     n = len(words)
     if not n:
-        return 0
+        return np.empty(0, np.uint64)
     line = b" ".join(words)
-    if n < 3:
+    if n < width:
         shingles = [line]
     else:
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1)
-        starts = np.concatenate([[0], ends[:-3]])
-        shingles = [line[a:b] for a, b in zip(starts.tolist(), (ends[2:] - 1).tolist())]
+        starts = np.concatenate([[0], ends[:-width]])
+        shingles = [line[a:b] for a, b in zip(starts.tolist(), (ends[width - 1 :] - 1).tolist())]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, 42) for s in shingles), np.uint64, len(shingles))
+    return np.fromiter((digest(s, 42) for s in shingles), np.uint64, len(shingles))
+
+
+def fingerprint(text: bytes | None) -> int:
+    hashes = shingle_hashes(text)
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, np.int64)
     for i in range(0, len(hashes), 1 << 14):  # bounded memory for long texts
         part = hashes[i : i + (1 << 14)]
@@ -286,9 +293,9 @@ def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", **how) -> DataFrame:
-    """One row of each group of near-duplicates: the smallest non-null key, then the smallest text hash; equal rows count as one."""
-    found = settle(near_duplicates(docs, key, **how), "groups")
+def keep_one(docs: DataFrame, key: str = "doc_id", find=near_duplicates, **how) -> DataFrame:
+    """One row of each group that ``find`` names: the smallest non-null key, then the smallest text hash; equal rows count as one."""
+    found = settle(find(docs, key, **how), "groups")
     best = F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("_key"), F.col("text_hash").alias("_hash"))).alias("best")
     winners = found.groupBy("root").agg(best).select("best._key", "best._hash")
     often = found.groupBy(F.col(key).alias("_key"), F.col("text_hash").alias("_hash")).agg((F.count("*") > 1).alias("_repeated"))
