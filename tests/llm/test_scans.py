@@ -137,6 +137,22 @@ def test_encoder_equals_whole_encoding(vocabulary, doc_rows, spark):
         assert np.frombuffer(encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_added_tokens_in_texts(spark, vocabulary):
+    """The unmodified library is the reference."""
+    import zlib
+
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(vocabulary)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "<|endoftext| >", "no mark"]
+    ids = {i: tok.encode(t, add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+    assert 50256 in ids[0]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), vocabulary).collect()
+    assert {r.doc_id: r.doc_tokens for r in rows} == {i: len(x) for i, x in ids.items()}
+    for r in rows:
+        assert r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4").tobytes())
+
+
 def test_closest_against_all_subsets():
     rng = np.random.default_rng(2)
     for _ in range(60):
