@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import forest, line_dedup, mixing, packing, quality, quotations, secrets, sharding, simhash, suffix_dedup
+from . import forest, line_dedup, mixing, packing, periodic, quality, quotations, secrets, sharding, simhash, suffix_dedup
 from .common import WORD
 
 
@@ -150,11 +150,19 @@ SELECT d.doc_id, coalesce((SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The runs of each text, one in ten of which repeats its own words from some place on, and a hash of what is left without them."""
+    docs = _read(spark, folder, "documents")
+    text = periodic.planted(F.col("doc_id"), F.col("text"))
+    return periodic.digest(periodic.periodic_runs(docs.select("doc_id", text.alias("text"))))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_projection_forest, op3_simhash_groups, op4_quotation_links, op5_suffix_repeats, op6_min_slack_packing, op7_secret_scan,
-        op8_jump_shards, op9_mix_sources, op10_line_runs,
+        op8_jump_shards, op9_mix_sources, op10_line_runs, op11_periodic_runs,
     )
 }
 _ORACLES = {"op9_mix_sources": OP9_SQL, "op10_line_runs": OP10_SQL}
