@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import forest, line_dedup, mixing, packing, periodic, quality, quotations, secrets, sharding, simhash, suffix_dedup
+from . import forest, lexical, line_dedup, mixing, packing, periodic, quality, quotations, secrets, sharding, simhash, suffix_dedup
 from .common import WORD
 
 
@@ -158,14 +158,44 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic.digest(periodic.periodic_runs(docs.select("doc_id", text.alias("text"))))
 
 
+def op12_mask_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents of each benchmark item."""
+    return lexical.search(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH said AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[0-9A-Za-z\x{80}-\x{10FFFF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM documents
+), per AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM said GROUP BY doc_id, term
+), lengths AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM per GROUP BY doc_id
+), total AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM lengths
+), factors AS (
+  SELECT doc_id, 50 + (50 * n * docs) // terms AS m FROM lengths, total
+), asked AS (
+  SELECT DISTINCT item_id, translate(unnest(regexp_extract_all(text, '[0-9A-Za-z\x{80}-\x{10FFFF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM benchmark
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * max(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM per, total GROUP BY term
+), scored AS (
+  SELECT item_id, per.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN per ON asked.term = per.term JOIN weights ON weights.term = per.term JOIN factors ON factors.doc_id = per.doc_id GROUP BY item_id, per.doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_projection_forest, op3_simhash_groups, op4_quotation_links, op5_suffix_repeats, op6_min_slack_packing, op7_secret_scan,
-        op8_jump_shards, op9_mix_sources, op10_line_runs, op11_periodic_runs,
+        op8_jump_shards, op9_mix_sources, op10_line_runs, op11_periodic_runs, op12_mask_search,
     )
 }
-_ORACLES = {"op9_mix_sources": OP9_SQL, "op10_line_runs": OP10_SQL}
+_ORACLES = {"op9_mix_sources": OP9_SQL, "op10_line_runs": OP10_SQL, "op12_mask_search": OP12_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
