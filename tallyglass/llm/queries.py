@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import forest, lexical, line_dedup, mixing, packing, periodic, quality, quotations, secrets, sharding, simhash, suffix_dedup
+from . import forest, lexical, line_dedup, matching, mixing, packing, periodic, quality, quotations, secrets, sharding, simhash, suffix_dedup
 from .common import WORD
 
 
@@ -188,11 +188,18 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """
 
 
+def op13_window_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of each document, those in windows of a document with a smaller id, and the words that stay."""
+    out = matching.remove_windows(_read(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
+    return out.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"), F.col("kept").alias("text"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_projection_forest, op3_simhash_groups, op4_quotation_links, op5_suffix_repeats, op6_min_slack_packing, op7_secret_scan,
-        op8_jump_shards, op9_mix_sources, op10_line_runs, op11_periodic_runs, op12_mask_search,
+        op8_jump_shards, op9_mix_sources, op10_line_runs, op11_periodic_runs, op12_mask_search, op13_window_matches,
     )
 }
 _ORACLES = {"op9_mix_sources": OP9_SQL, "op10_line_runs": OP10_SQL, "op12_mask_search": OP12_SQL}
