@@ -11,7 +11,7 @@ from ..session import settle
 #: A word is a run of anything but ASCII white space; the same set that ``bytes.split()`` uses.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "components", "group_roots", "numbered", "runs", "settle", "word_count"]
+__all__ = ["WORD", "components", "free_name", "group_roots", "numbered", "runs", "settle", "word_count"]
 
 
 def word_count(text: Column) -> Column:
@@ -19,6 +19,15 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of name_1, name_2, ... that is no column of ``df`` (in any case)."""
+    taken, n, found = {c.lower() for c in df.columns}, 0, name
+    while found.lower() in taken:
+        n += 1
+        found = f"{name}_{n}"
+    return found
+
+
 def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
     """Rows with ``name``, their 0-based place in the total order, without one global sort task.
 

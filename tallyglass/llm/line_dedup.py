@@ -9,7 +9,7 @@ that overlap join into the maximal repeated runs.  The first occurrence stays.
 Edge cases: null texts stay null, texts without a repeated run stay as they are,
 a text that loses all lines becomes empty; rows that repeat both id and text
 count as one document and share its result; null ids are an id of their own,
-ordered first; other columns pass through untouched.
+ordered first; other columns pass through untouched, whatever their names.
 
 Method.  The first symbols are ranked in order of their line ids, by a range
 sort of the distinct ids.  Round k turns the pair of ranks at i and i + 2**k
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, settle, word_count
+from .common import WORD, free_name, settle, word_count
 
 MIN_WORDS = 50
 
@@ -62,7 +62,7 @@ def repeated_runs(docs: DataFrame, doc: str = "doc_id", min_words: int = MIN_WOR
     lines = settle(_line_table(docs, doc, min_words), "lines")
     twice = lines.groupBy("line_id").agg(F.count("*").alias("c")).where("c > 1").select("line_id")
     # A run with a line that occurs once cannot repeat, so its start drops out here or in a later round.
-    start = lines.join(_ranked(twice, "line_id"), "line_id").where(f"run_words >= {min_words} OR n > 0")
+    start = lines.join(_ranked(twice, "line_id"), "line_id")
     level = settle(start.select("key", "pos", "raw", "n", "raw_end", "run_words", "run_chars", "rank"), "level")
     info, found, k = level, [], 0
     while not level.isEmpty():
@@ -97,11 +97,15 @@ def repeated_runs(docs: DataFrame, doc: str = "doc_id", min_words: int = MIN_WOR
 
 
 def remove_repeated_lines(docs: DataFrame, doc: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the later copies of repeated runs cut from ``text``, and ``removed``: the cut runs (first, last), or null."""
-    runs = repeated_runs(docs, doc, min_words)
-    cut = runs.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("removed")).withColumnRenamed("key", "_key")
-    keyed = docs.withColumn("_key", _key(docs, doc))
+    """``docs`` with the later copies of repeated runs cut from ``text``, and ``removed``: the cut runs (first, last), or null.
+
+    Where ``docs`` has a column ``removed``, the runs are called :func:`free_name` of it, as in ``removed_1``.
+    """
+    key, spans = free_name(docs, "_key"), free_name(docs, "removed")
+    runs = repeated_runs(docs.select(F.col(doc).alias(doc), "text"), doc, min_words)
+    cut = runs.groupBy(F.col("key").alias(key)).agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias(spans))
+    keyed = docs.withColumn(key, _key(docs, doc))
     lines = F.split(F.col("text"), "\n")
-    outside = lambda _, i: ~F.exists(F.col("removed"), lambda r: i.between(r["first"], r["last"]))
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, outside), "\n"))
-    return keyed.join(cut, "_key", "left").withColumn("text", text).drop("_key")
+    outside = lambda _, i: ~F.exists(F.col(spans), lambda r: i.between(r["first"], r["last"]))
+    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, outside), "\n"))
+    return keyed.join(cut, key, "left").withColumn("text", text).drop(key)

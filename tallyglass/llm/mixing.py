@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, settle, word_count
+from .common import free_name, numbered, settle, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 
@@ -73,10 +73,13 @@ def sizes(docs: DataFrame) -> DataFrame:
 
 
 def emit(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = 3.0) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with the columns of ``docs``."""
-    targets = source_targets(sizes(docs), weights, cap).select(F.col("source").alias("_source"), F.col("source_size").alias("_size_all"), F.col("target").alias("_target"))
-    rate = F.when(F.col("_size_all") > 0, F.col("_target") / F.col("_size_all")).otherwise(0.0)
-    more = (seeded_fraction(F.col("doc_id"), word_count(F.col("text"))) < rate - F.floor(rate)).cast("long")
-    joined = docs.join(targets, docs["source"].eqNullSafe(F.col("_source")))
-    taken = joined.withColumn("_copies", (F.floor(rate) + more).cast("int")).where("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[docs[c] for c in docs.columns])
+    """The mix itself: each document as often as it is taken, with the columns of ``docs``, whatever their names."""
+    targets = source_targets(sizes(docs), weights, cap)
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    source, per, copy = (free_name(docs, n) for n in ("_source", "_rate", "_copy"))
+    rates = targets.select(F.col("source").alias(source), rate.alias(per))
+    more = (seeded_fraction(F.col("doc_id"), word_count(F.col("text"))) < F.col(per) - F.floor(per)).cast("long")
+    joined = docs.join(rates, docs["source"].eqNullSafe(F.col(source)))
+    times = (F.floor(per) + more).cast("int")
+    taken = joined.withColumn(copy, times).where(F.col(copy) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copy))))
+    return taken.select(*[docs[c] for c in docs.columns])

@@ -9,6 +9,13 @@ DOCS = T.StructType([
 ])
 
 
+#: Names that the operators use for columns of their own.
+CLASHES = (
+    "size", "rank", "key", "target", "cell", "value", "removed", "component", "_key", "_source", "_copies", "_copy", "_rate", "_size_all", "_target", "_range", "_start",
+    "ref", "n", "id", "spans", "kept", "core", "pos", "fp", "root", "node", "text_hash", "bytes", "first", "last", "origin", "h", "runs", "best", "m", "score", "item", "shard", "slot", "own", "_hash", "_repeated",
+)
+
+
 def make_texts(seed: int = 5, n: int = 120) -> list:
     """Texts with shared passages, near copies, repeats, odd white space, secrets and long ones."""
     rng = random.Random(seed)
@@ -45,7 +52,7 @@ def docs(spark, doc_rows):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(doc_rows, DOCS)
-    for name in ("size", "rank", "key", "target", "cell", "value", "removed", "component"):
+    for name in CLASHES:
         df = df.withColumn(name, F.lit("clash"))
     return df.repartition(3)
 

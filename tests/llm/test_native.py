@@ -102,11 +102,12 @@ def cut_lines(rows, least):
 
 @pytest.mark.parametrize("least", [1, 20, 50])
 def test_line_runs_against_brute_force(docs, doc_rows, least):
-    got = line_dedup.remove_repeated_lines(docs.withColumn("before", F.col("text")).drop("removed"), min_words=least).collect()
+    got = line_dedup.remove_repeated_lines(docs.withColumn("before", F.col("text")), min_words=least).collect()
     want = cut_lines(doc_rows, least)
     assert len(got) == len(doc_rows)
     for r in got:
         assert r.text == (None if r.before is None else want[r.doc_id is not None, r.doc_id or 0, r.before])
+        assert r.removed == r._key == "clash" and (r.removed_1 is None) == (r.text == r.before)
     assert any(r.text != r.before for r in got)
 
 
