@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from conftest import SMALL
+
 from tallyglass.operators import dedupe
 from tallyglass.operators import members as mb
 from tallyglass.operators import quality as ql
@@ -161,3 +163,23 @@ def test_quality_summary_takes_the_first_sample(spark):
 def test_absent_tables_count_zero(spark):
     got = ql.table_counts({"a": spark.range(3), "b": None})
     assert rows(got) == [("a", 3), ("b", 0)]
+
+
+def test_the_assembled_tables_meet_every_tier(spark):
+    """No member is left out, and each way to find a key, or none, occurs among the filers."""
+    from collections import Counter
+
+    from tallyglass.operators import resolve
+    from tallyglass.plans.catalogue import tables as ct
+    from tallyglass.plans.catalogue.views import Views
+
+    v = Views(spark, SMALL)
+    filers = ct._filers(v, "H", 0)
+    assert filers.count() == v.customer.count()
+    found = resolve.resolve_names(filers.withColumn("year", F.lit(ct.YEAR)), ct._index(v), "last", "first")
+    tiers = Counter(r.tier for r in found.select("tier").collect())
+    assert set(tiers) == {None, 1, 2, 3, 4, 5} and min(tiers.values()) > 0
+    shared = found.where("last LIKE 'Last%'").groupBy("last").agg(F.count("bioguide").alias("n")).where("n > 1")
+    assert shared.count() > 0
+    listed = {r.doc_id for r in filers.select("doc_id").collect()}
+    assert any(r.doc_id not in listed for r in v.house_cells.select("doc_id").distinct().collect())
