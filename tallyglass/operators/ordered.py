@@ -1,10 +1,13 @@
 """Order-dependent work inside documents, safe when one document is huge.
 
 A plain window over a document puts the whole document in one task.  Here every
-document is cut into chunks along its own order: each chunk runs its window
-alone, the chunk totals (one row per chunk) are run over in turn, and the
-carried value is joined back.  The plan is the same for all sizes; a document
-shorter than a chunk is one chunk without a carry.
+document is cut into chunks along its own order, and a chunk is an automaton
+whose state is what it carries: counts, maxima, latest values, texts.  One pass
+over the source runs every chunk from the empty state and stores its rows; the
+state at a chunk's last row is its summary.  Summaries, one row per chunk, are
+composed along each document, which is associative, and the second pass adds to
+the stored rows the state their chunk begins with.  The plan is the same for all
+sizes; a document shorter than a chunk is one chunk and begins empty.
 """
 
 from __future__ import annotations
@@ -14,7 +17,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK = "__chunk"
+from ..session import settle
+
+CHUNK, END = "__chunk", "__end"
 
 
 @dataclass(frozen=True)
@@ -77,48 +82,23 @@ def running(df: DataFrame, order: Order, **values: tuple[str, Column]) -> DataFr
     """
     marked = mark_chunks(df, order)
     inputs = {name: f"__in_{name}" for name in values}
-    base = marked.withColumns({inputs[n]: c for n, (_, c) in values.items()})
-
-    w = (
-        Window.partitionBy(*order.keys, CHUNK)
-        .orderBy(*order.by)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = base.withColumns(
-        {n: _in_window(kind, F.col(inputs[n]), w) for n, (kind, _) in values.items()}
-    ).drop(*inputs.values())
-
-    totals = []
-    for n, (kind, _) in values.items():
-        c = F.col(inputs[n])
-        if kind == "sum":
-            total = F.sum(c)
-        elif kind == "max":
-            total = F.max(c)
-        elif kind == "last":
-            total = F.max_by(c, F.when(c.isNotNull(), order.position()))
-        else:
-            total = _joined(order.position(), c)
-        totals.append(total.alias(n))
-    per_chunk = base.groupBy(*order.keys, CHUNK).agg(*totals)
-    before = (
-        Window.partitionBy(*order.keys)
-        .orderBy(CHUNK)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carry = per_chunk.select(
-        *order.keys,
-        CHUNK,
-        *[
-            (
-                F.concat_ws(" ", F.collect_list(F.nullif(F.col(n), F.lit(""))).over(before))
-                if kind == "concat"
-                else _in_window(kind, F.col(n), before)
-            ).alias(f"__carry_{n}")
-            for n, (kind, _) in values.items()
-        ],
-    )
-    merged = local.join(carry, [*order.keys, CHUNK], "left")
+    own = Window.partitionBy(*order.keys, CHUNK).orderBy(*order.by)
+    w = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = marked.withColumns({inputs[n]: c for n, (_, c) in values.items()})
+    local = local.withColumns({n: _in_window(kind, F.col(inputs[n]), w) for n, (kind, _) in values.items()} | {END: F.lead(F.lit(1)).over(own).isNull()})
+    # The only pass over the source; the rest reads what is stored here.
+    local = settle(local.drop(*inputs.values()), "chunks")
+    summaries = local.where(END).select(*order.keys, CHUNK, *values)
+    along = Window.partitionBy(*order.keys).orderBy(CHUNK)
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    carried = {
+        f"__carry_{n}": F.concat_ws(" ", F.collect_list(F.nullif(F.col(n), F.lit(""))).over(before)) if kind == "concat" else _in_window(kind, F.col(n), before)
+        for n, (kind, _) in values.items()
+    }
+    carry = summaries.withColumns(carried | {"__later": F.lag(F.lit(1)).over(along).isNotNull()}).where("__later")
+    # Stored, so that Spark knows its size and moves the smaller side only.
+    carry = settle(carry.select(*order.keys, CHUNK, *carried), "carries")
+    merged = local.drop(END).join(carry, [*order.keys, CHUNK], "left")
     out = {}
     for n, (kind, _) in values.items():
         here, past = F.col(n), F.col(f"__carry_{n}")
@@ -130,7 +110,7 @@ def running(df: DataFrame, order: Order, **values: tuple[str, Column]) -> DataFr
             out[n] = F.coalesce(here, past)
         else:
             out[n] = F.concat_ws(" ", F.nullif(past, F.lit("")), F.nullif(here, F.lit("")))
-    return merged.withColumns(out).drop(*[f"__carry_{n}" for n in values])
+    return merged.withColumns(out).drop(*carried)
 
 
 def _joined(position: Column, text: Column, sep: str = " ") -> Column:

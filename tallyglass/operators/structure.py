@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..functions import values as vl
-from ..session import settle
 from .joins import best_row
 from .ordered import CHUNK, Order, by_document, fold, running
 
@@ -150,7 +149,7 @@ def house_rows(cells: DataFrame, order: Order) -> DataFrame:
     named = F.col("asset") != ""
     emit = body & ~dated & named & vl.has_money(F.concat("value", "income", "asset"))
     more = body & ~dated & named & ~vl.has_money("value") & ~emit
-    rows = rows.withColumns({"body": body, "dated": body & dated, "emit": emit, "more": more})
+    rows = rows.withColumns({"body": body, "dated": body & dated, "emit": emit, "more": more}).drop("cells", "filled")
     return running(
         rows,
         order,
@@ -344,7 +343,7 @@ def inherit_names(entries: DataFrame, keys: list[str], drop_arrows: bool, cut: i
         text = F.regexp_replace(text, r"^.*⇒\s*", "")
     order = Order(keys, ["entry"], cut)
     piece = tx.strip_all(text)
-    rows = settle(entries, "entries").withColumns(
+    rows = entries.withColumns(
         {
             "head": heads,
             "piece": F.when(heads | F.col("more").isNotNull(), piece),
