@@ -45,7 +45,10 @@ def op5_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes and runs removed from each document, and a hash of the bytes that stay."""
     out = suffix_dedup.remove_repeats(_read(spark, folder, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
-    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        F.octet_length("kept").cast("long").alias("n_kept"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
+    )
 
 
 def vocabulary() -> str:

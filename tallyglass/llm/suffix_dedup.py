@@ -18,7 +18,10 @@ else goes.  Only regions that can hold such a string reach a suffix array:
    their hashes, and the outermost ones compared byte by byte.
 
 A core shared by more than ``MOST`` different contexts is not brought into one
-task: its strings are spread by their start and their hash and counted.
+task.  Its strings are divided by their distance from the anchor, 40, 8 and at
+last one distance together, which makes the bytes they must share longer, up to
+the string itself; what is left of a context is again a context, equal ones are
+again one class, and the suffix arrays go on as before.
 
 Edge cases: null and empty texts, and texts shorter than ``length``, lose
 nothing; exact copies of longer texts lose everything, as do rows that repeat;
@@ -40,6 +43,8 @@ from pyspark.sql import functions as F
 from .common import settle
 
 LENGTH, WINDOW, BLOCK, MOST = 400, 200, 40, 20_000
+#: Distances that stay together each time a crowded core is divided.
+STEPS = (40, 8, 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _VALUES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)
 
@@ -228,23 +233,24 @@ def neighbour_matches(symbols: list[int], distance: np.ndarray, pieces: list, co
     return best
 
 
-def repeated_starts(members: list[tuple[int, bytes, int]], wanted: list[bool], length: int = LENGTH) -> list[tuple[int, int] | None]:
+def repeated_starts(members: list[tuple[int, bytes, int]], wanted: list[bool], length: int = LENGTH, window: int = WINDOW) -> list[tuple[int, int] | None]:
     """For each wanted member: least and greatest distance from a repeated string's start to the anchor, or None.
 
-    A member is (group, context, bytes left of the anchor); members of a group share the core.
+    A member is (group, context, bytes left of the anchor); members of a group
+    share the core, the ``length - window + 1`` bytes from the anchor on.
     """
-    core = length - WINDOW + 1
+    core = length - window + 1
     symbols, owner, distance, pieces = symbols_of(members, core)
     best = neighbour_matches(symbols, distance, pieces, core)
     n, out = len(members), [None] * len(members)
-    hopeful = np.zeros((n, -(-WINDOW // BLOCK)), bool)
+    hopeful = np.zeros((n, -(-window // BLOCK)), bool)
     at = np.flatnonzero((distance >= 0) & (best > length - BLOCK))
     hopeful[owner[at], distance[at] // BLOCK] = True
     hopeful &= np.array(wanted)[:, None]
     if not hopeful.any():
         return out
     # Hashes of all strings around an anchor, as differences of running sums; strings at one distance line up.
-    span = WINDOW - 1
+    span = window - 1
     group = np.unique(np.array([m[0] for m in members]), return_inverse=True)[1].astype(np.uint64) * _MIX
     left = np.array([m[2] for m in members])
     right = np.array([len(m[1]) - m[2] for m in members])
@@ -252,7 +258,7 @@ def repeated_starts(members: list[tuple[int, bytes, int]], wanted: list[bool], l
     sums = np.zeros((n, span + length + 1), np.uint64)
     np.cumsum(_VALUES[rows] * _weights(span + length), axis=1, out=sums[:, 1:])
     low, high, low_with, high_with = (np.full(n, -1) for _ in range(4))
-    for d in range(WINDOW):
+    for d in range(window):
         hope = hopeful[:, d // BLOCK]
         whole = np.flatnonzero((left >= d) & (right + d >= length))
         if len(whole) < 2 or not hope[whole].any():
@@ -276,7 +282,7 @@ def repeated_starts(members: list[tuple[int, bytes, int]], wanted: list[bool], l
             out[m] = ends[0][0], ends[1][0]
         else:  # two strings with one hash: all others of the group, byte by byte
             others = [o for o in range(n) if o != m and members[o][0] == members[m][0]]
-            real = [d for d in range(min(WINDOW, left[m] + 1)) if hopeful[m, d // BLOCK] and right[m] + d >= length and any(left[o] >= d and string(o, d) == string(m, d) for o in others)]
+            real = [d for d in range(min(window, left[m] + 1)) if hopeful[m, d // BLOCK] and right[m] + d >= length and any(left[o] >= d and string(o, d) == string(m, d) for o in others)]
             out[m] = (real[0], real[-1]) if real else None
     return out
 
@@ -311,15 +317,15 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int, key: str) -> Data
     return held.mapInArrow(task, kind).dropDuplicates(["ref", "n", "pos"])
 
 
-def _by_suffix_arrays(contexts: DataFrame, length: int) -> DataFrame:
-    """ref, n, pos, low, high of the lone contexts that hold repeated strings."""
+def _by_suffix_arrays(contexts: DataFrame, length: int, window: int) -> DataFrame:
+    """ref, n, s, e: from the first to the last repeated string in each lone context that holds one."""
     dealt = contexts.repartition("core").sortWithinPartitions("core", "ref", "n", "pos").select("core", "alone", "left", "text", "ref", "n", "pos")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def solve(rows: list[tuple]) -> pa.RecordBatch:
-            found = repeated_starts([(r[0], r[3], r[2]) for r in rows], [r[1] for r in rows], length)
+            found = repeated_starts([(r[0], r[3], r[2]) for r in rows], [r[1] for r in rows], length, window)
             hit = [(r[4], r[5], r[6], *f) for r, f in zip(rows, found) if f]
             return pa.RecordBatch.from_arrays([pa.array([h[i] for h in hit], t) for i, t in enumerate([pa.int64(), *[pa.int32()] * 4])], ["ref", "n", "pos", "low", "high"])
 
@@ -334,27 +340,57 @@ def _by_suffix_arrays(contexts: DataFrame, length: int) -> DataFrame:
         if held:
             yield solve(held)
 
-    return dealt.mapInArrow(task, PLACE + ", low int, high int")
+    found = dealt.mapInArrow(task, PLACE + ", low int, high int")
+    return found.select("ref", "n", (F.col("pos") - F.col("high")).alias("s"), (F.col("pos") - F.col("low") + length).alias("e"))
 
 
-def _by_counting(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for cores with very many contexts: each string by its start and hash."""
+def _divide(contexts: DataFrame, length: int, window: int, width: int) -> DataFrame:
+    """Each context in parts of ``width`` distances: core, hi and lo (hash of the part), alone, left, text, ref, n, pos."""
+    core = length - width + 1
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            out = []
             for r in batch.to_pylist():
-                t, left = r["text"], r["left"]
-                own = [(d, xxhash.xxh3_128_digest(t[left - d : left - d + length])) for d in range(left + 1) if len(t) - left + d >= length]
-                k = len(own)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["core"]] * k, pa.int64()), pa.array([d for d, _ in own], pa.int32()), pa.array([h for _, h in own], pa.binary()), pa.array([r["alone"]] * k, pa.bool_()),
-                     pa.array([r["ref"]] * k, pa.int64()), pa.array([r["n"]] * k, pa.int32()), pa.array([r["pos"]] * k, pa.int32())],
-                    ["core", "d", "digest", "alone", "ref", "n", "pos"],
-                )
+                for nearest in range(0, min(window, r["left"] + 1), width):
+                    at = r["left"] - nearest
+                    left = min(at, width - 1)
+                    text = r["text"][at - left : at + length]
+                    if len(text) < length or len(text) - left < core:
+                        continue
+                    whole = xxhash.xxh3_128_intdigest(text, left)
+                    # The distance is part of the key: one place may be reached from two anchors.
+                    shared = xxhash.xxh3_64_intdigest(text[left : left + core], (r["core"] + nearest) % 2**64)
+                    signed = [int.from_bytes(x.to_bytes(8), signed=True) for x in (shared, whole >> 64, whole & 0xFFFFFFFFFFFFFFFF)]
+                    out.append((*signed, r["alone"], left, text, r["ref"], r["n"], r["pos"] - nearest))
+            types = [pa.int64()] * 3 + [pa.bool_(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int32()]
+            names = ["core", "hi", "lo", "alone", "left", "text", "ref", "n", "pos"]
+            for i in range(0, len(out), 20_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[i : i + 20_000]), types)], names)
+
+    return contexts.mapInArrow(task, "core long, hi long, lo long, alone boolean, left int, text binary, " + PLACE)
 
-    strings = contexts.mapInArrow(task, "core long, d int, digest binary, alone boolean, " + PLACE)
-    twice = strings.groupBy("core", "d", "digest").count().where("count > 1").drop("count")
-    return strings.where("alone").join(twice, ["core", "d", "digest"]).groupBy("ref", "n", "pos").agg(F.min("d").alias("low"), F.max("d").alias("high"))
+
+def _whole(known: DataFrame, length: int, window: int) -> DataFrame:
+    """ref, n, s, e: all that strings with an anchor can cover, for anchors whose context occurs elsewhere too."""
+    left, low = F.least(F.col("pos"), F.lit(window - 1)), F.greatest(F.lit(0), length - F.col("n") + F.col("pos"))
+    return known.select("ref", "n", (F.col("pos") - left).alias("s"), (F.col("pos") - low + length).alias("e"))
+
+
+def _crowded(contexts: DataFrame, length: int, window: int, most: int, steps: tuple[int, ...]) -> DataFrame:
+    """ref, n, s, e for the contexts of crowded cores, divided as often as ``steps`` says."""
+    parts = settle(_divide(contexts, length, window, steps[0]), "divided")
+    classes = parts.groupBy("core", "hi", "lo").agg(F.count("*").alias("members"), F.min(F.struct("ref", "n", "pos")).alias("one"))
+    groups = classes.groupBy("core").agg(F.count("*").alias("classes")).where("classes > 1").withColumn("hot", F.col("classes") > most)
+    known = settle(parts.join(classes, ["core", "hi", "lo"]), "classes")
+    found = _whole(known.where("members > 1 AND alone"), length, steps[0])
+    some = known.where(F.expr("members = 1 OR struct(ref, n, pos) = one")).join(groups, "core")
+    rest = settle(some.select("core", (F.col("alone") & (F.col("members") == 1)).alias("alone"), "hot", "left", "text", "ref", "n", "pos"), "parts")
+    found = found.unionAll(_by_suffix_arrays(rest.where("NOT hot"), length, steps[0]))
+    # Single strings are one class a core, so the last division leaves nothing crowded.
+    if rest.where("hot").isEmpty():
+        return found
+    return found.unionAll(_crowded(rest.where("hot"), length, steps[0], most, steps[1:]))
 
 
 def removed_spans(docs: DataFrame, key: str = "doc_id", length: int = LENGTH, most: int = MOST) -> DataFrame:
@@ -366,15 +402,14 @@ def removed_spans(docs: DataFrame, key: str = "doc_id", length: int = LENGTH, mo
     groups = classes.groupBy("core").agg(F.count("*").alias("classes")).where("classes > 1").withColumn("hot", F.col("classes") > most)
     known = settle(rows.join(classes, ["core", "context"]).select("core", "ref", "n", "pos", "members", (F.struct("ref", "n", "pos") == F.col("one")).alias("chosen")), "classes")
     # Members of a repeated class: every string they can hold is repeated.
-    left, low = F.least(F.col("pos"), F.lit(WINDOW - 1)), F.greatest(F.lit(0), length - F.col("n") + F.col("pos"))
-    full = known.where("members > 1").select("ref", "n", (F.col("pos") - left).alias("s"), (F.col("pos") - low + length).alias("e"))
+    full = _whole(known.where("members > 1"), length, WINDOW)
     wanted = known.where("members = 1 OR chosen").join(groups, "core").select("core", "ref", "n", "pos", (F.col("members") == 1).alias("alone"), "hot")
     contexts = _contexts(docs, wanted, length, key)
-    found = _by_suffix_arrays(contexts.where("NOT hot"), length)
-    if not settle(groups.where("hot"), "hot").isEmpty():
+    if settle(groups.where("hot"), "hot").isEmpty():
+        part = _by_suffix_arrays(contexts, length, WINDOW)
+    else:
         contexts = settle(contexts, "contexts")
-        found = _by_suffix_arrays(contexts.where("NOT hot"), length).unionAll(_by_counting(contexts.where("hot"), length))
-    part = found.select("ref", "n", (F.col("pos") - F.col("high")).alias("s"), (F.col("pos") - F.col("low") + length).alias("e"))
+        part = _by_suffix_arrays(contexts.where("NOT hot"), length, WINDOW).unionAll(_crowded(contexts.where("hot"), length, WINDOW, most, STEPS))
     spans = full.unionAll(part).groupBy("ref", "n").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans"))
 
     def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
