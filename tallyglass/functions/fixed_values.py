@@ -201,12 +201,12 @@ SCANNED_FILERS = [
     ("8221141", "Tokuda", "Jill", "HI", "HI02"),
 ]
 
-# --- fixed values: roster rows known to carry the wrong document id (last, wrong id)
+# --- fixed values: roster rows known to carry the wrong document id (last, first, office, wrong id)
 WRONG_DOC_IDS = [
-    ("Blumenauer", "10070343"),
-    ("Gimenez", "10066804"),
-    ("McHenry", "10068784"),
-    ("Phillips", "10067550"),
+    ("Blumenauer", "Earl", "OR03", "10070343"),
+    ("Gimenez", "Carlos", "FL28", "10066804"),
+    ("McHenry", "Patrick", "NC10", "10068784"),
+    ("Phillips", "Dean", "MN03", "10067550"),
 ]
 
 # --- fixed values: last names checked when filings stay unmatched

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as fv
 from ..functions import names as nm
 from ..session import settle
 
@@ -146,9 +147,10 @@ def first_covering_alias(names: DataFrame, aliases: DataFrame, members: DataFram
 
 
 def suspect_names(
-    holdings: DataFrame, aliases: DataFrame, members: DataFrame, suspects: list[str]
+    holdings: DataFrame, aliases: DataFrame, members: DataFrame, suspects: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Filing names and aliases that start with (contain) a suspect last name."""
+    """Filing names and aliases that start with (contain) a suspect last name; without a list, one of the names that are known to stay unmatched."""
+    suspects = fv.SUSPECT_LAST_NAMES if suspects is None else suspects
 
     def any_of(c: str, prefix: str):
         out = F.lit(False)

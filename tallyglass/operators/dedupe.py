@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as fv
+from ..functions import names as nm
+from ..sources import rosters as rs
 from .joins import best_row
 
 
@@ -50,6 +53,28 @@ def apply_corrections(roster: DataFrame, corrections: DataFrame) -> DataFrame:
     )
 
 
+def known_cases(spark: SparkSession) -> DataFrame:
+    """The members known to be listed under a wrong document id: last, first, office, doc_id."""
+    return spark.createDataFrame(fv.WRONG_DOC_IDS, "last string, first string, office string, doc_id string")
+
+
+def find_corrections(index: DataFrame, cases: DataFrame) -> DataFrame:
+    """(last, doc_id, new_doc_id) for each case whose annual filing the bulk index holds under another id.
+
+    ``index`` has doc_id, filing_type, last, first and office; ``cases`` is
+    :func:`known_cases` or the like.  A filing fits if the last names and the
+    first words of the first names agree; one of the case's office goes before
+    others, then the least id.  Each side is joined on the name, and a case keeps
+    one filing by a map-side minimum, however many the index has.
+    """
+    name = [F.lower(F.trim("last")).alias("__l"), F.lower(nm.first_word("first")).alias("__f")]
+    filed = index.where(rs.is_annual("filing_type") & (F.col("doc_id") != "")).select(*name, F.col("doc_id").alias("__new"), F.upper("office").alias("__office"))
+    asked = cases.select(*name, "last", "doc_id", F.upper("office").alias("__own"))
+    best = F.min(F.struct((F.col("__office") != F.col("__own")).alias("far"), F.col("__new").alias("id")))
+    found = asked.join(filed, ["__l", "__f"]).where("__new != doc_id").groupBy("last", "doc_id").agg(best["id"].alias("new_doc_id"))
+    return found
+
+
 def new_rows(candidates: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return candidates.join(existing.select(key), key, "left_anti")
 

@@ -59,6 +59,32 @@ def apply_corrections(v):
     return dedupe.apply_corrections(v.filing_index.select("ordinal", "last", "doc_id"), wrong)
 
 
+_CASES = ", ".join(f"({i}, '{last}', '{first}', '{office}', '{doc}')" for i, (last, first, office, doc) in enumerate(fv.WRONG_DOC_IDS))
+
+
+def _case_filings(v):
+    """Every tenth filer of the index is one of the listed cases; some file for another office, some are listed under the wrong id."""
+    case = F.get(F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(c, ("last", "first", "office", "wrong"))]) for c in fv.WRONG_DOC_IDS]), (F.col("user_id") % 40).cast("int"))
+    return v.filing_index.select(
+        "ordinal", "filing_type", "doc_id", F.coalesce(F.upper(case["last"]), F.col("last")).alias("last"), F.coalesce(F.concat(case["first"], F.lit(" B")), F.col("first")).alias("first"),
+        F.when(F.col("event_id") % 2 == 0, case["office"]).otherwise(F.col("office")).alias("office"), F.when(F.col("event_id") % 7 == 0, case["wrong"]).alias("listed"),
+    )
+
+
+@query(f"""WITH c(i, last, first, office, wrong) AS (VALUES {_CASES}),
+filed AS (SELECT x.ordinal, x.filing_type, x.doc_id, x.event_id, coalesce(upper(c.last), x.last) AS last, c.i, c.wrong,
+  CASE WHEN x.event_id % 2 = 0 AND c.i IS NOT NULL THEN 0 WHEN x.office = c.office THEN 0 ELSE 1 END AS far FROM filing_index_v x LEFT JOIN c ON c.i = x.user_id % 40),
+best AS (SELECT i, doc_id AS new_id FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY far, doc_id) AS rn FROM filed
+  WHERE i IS NOT NULL AND filing_type IN ('O', 'A', 'OA')) q WHERE rn = 1)
+SELECT ordinal, last, CASE WHEN f.event_id % 7 = 0 AND f.i IS NOT NULL THEN coalesce(b.new_id, f.wrong) ELSE f.doc_id END AS doc_id FROM filed f LEFT JOIN best b ON b.i = f.i""")
+def correct_doc_ids(v):
+    """The listed cases looked up in the bulk index, and the roster with the ids found there."""
+    filed = _case_filings(v)
+    corrections = dedupe.find_corrections(filed, dedupe.known_cases(v.spark))
+    roster = filed.select("ordinal", "last", F.coalesce("listed", "doc_id").alias("doc_id"))
+    return dedupe.apply_corrections(roster, corrections)
+
+
 # -- aliases -----------------------------------------------------------------
 
 
@@ -161,6 +187,30 @@ def suspect_names(v):
     )
 
 
+_SUSPECTS = "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in fv.SUSPECT_LAST_NAMES) + "]"
+
+
+def _like_suspect(c: str, before: str) -> str:
+    return "(" + " OR ".join(f"lower({c}) LIKE '{before}{x.lower().replace(chr(39), '%')}%'" for x in fv.SUSPECT_LAST_NAMES) + ")"
+
+
+@query(f"""WITH h AS (SELECT chamber, first_name, coalesce({_SUSPECTS}[order_key % 60 + 1] || CASE WHEN line_number = 1 THEN ' Jr.' ELSE '' END, last_name) AS last_name FROM holdings_v),
+a AS (SELECT bioguide, first_name, coalesce('De ' || {_SUSPECTS}[CAST(substr(bioguide, 2) AS BIGINT) % 60 + 1], last_name) AS last_name FROM name_aliases_v)
+SELECT DISTINCT 'filed' AS kind, last_name, first_name, chamber AS extra FROM h WHERE chamber = 'House' AND {_like_suspect('last_name', '')}
+UNION ALL SELECT 'alias', a.last_name, a.first_name, mi.party FROM a JOIN member_info_v mi ON mi.bioguide = a.bioguide WHERE {_like_suspect('a.last_name', '%')}""")
+def suspect_filings(v):
+    """The listed last names among the filings of the House and the aliases; a third of both bear one of them."""
+    names = F.array(*map(F.lit, fv.SUSPECT_LAST_NAMES))
+    own = F.get(names, (F.col("order_key") % 60).cast("int"))
+    filed = v.holdings.withColumn("last_name", F.coalesce(F.concat(own, F.when(F.col("line_number") == 1, " Jr.").otherwise("")), "last_name"))
+    given = F.get(names, (F.substring("bioguide", 2, 99).cast("long") % 60).cast("int"))
+    aliases = v.name_aliases.withColumn("last_name", F.coalesce(F.concat(F.lit("De "), given), "last_name"))
+    filings, listed = al.suspect_names(filed, aliases, v.member_info)
+    return filings.select(F.lit("filed").alias("kind"), "last_name", "first_name", F.col("chamber").alias("extra")).unionByName(
+        listed.select(F.lit("alias").alias("kind"), "last_name", "first_name", F.col("party").alias("extra"))
+    )
+
+
 # -- resolver ----------------------------------------------------------------
 
 _NICK = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in fv.NICKNAMES.items())

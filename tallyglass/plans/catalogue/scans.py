@@ -60,6 +60,21 @@ def bulk_index_scan(v):
     )
 
 
+@query("""SELECT doc_id, filing_type, last, first, office, CASE WHEN ordinal % 3 = 2 THEN CAST(year AS VARCHAR) ELSE '' END AS filing_date FROM filing_index_v""")
+def bulk_index_mixed(v):
+    """One folder of three kinds of file: their own delimiters, column orders and field names."""
+    root = work_folder(v.spark, "mixed-index")
+    kinds = [
+        ("|", {"FilingType": "filing_type", "Last": "last", "First": "first", "StateDst": "office", "DocID": "doc_id"}),
+        ("\t", {"doc_id": "doc_id", "Office": "office", "First": "first", "LastName": "last", "Filing_Type": "filing_type"}),
+        (",", {"First": "first", "filing_date": "year", "DocumentID": "doc_id", "StateDist": "office", "FilingType": "filing_type", "Last": "last"}),
+    ]
+    for i, (sep, fields) in enumerate(kinds):
+        own = v.filing_index.where(F.col("ordinal") % 3 == i)
+        tb.write_csv(own.select(*[F.col(c).cast("string").alias(n) for n, c in fields.items()]), f"{root}/{i}", sep=sep)
+    return rs.read_bulk_index(v.spark, f"{root}/*/").select("doc_id", "filing_type", "last", "first", "office", "filing_date")
+
+
 @query("""WITH m AS (SELECT 'K' || CAST(event_id % 500 AS VARCHAR) AS doc_id, max(2020 + event_id % 4) AS year FROM events GROUP BY 1)
 SELECT doc_id, 'L' || CAST(year AS VARCHAR) AS last, 'F' AS first, 'TX' AS state, '05' AS district, year FROM m""")
 def multi_year_lookup(v):

@@ -183,3 +183,35 @@ def test_the_assembled_tables_meet_every_tier(spark):
     assert shared.count() > 0
     listed = {r.doc_id for r in filers.select("doc_id").collect()}
     assert any(r.doc_id not in listed for r in v.house_cells.select("doc_id").distinct().collect())
+
+
+def test_index_folder_of_many_kinds(spark, tmp_path):
+    """Each file by its own first line; files without rows, without a line, and with fields nobody knows."""
+    files = {
+        "a.txt": "FilingType|Last|First|StateDst|DocID\nO|Doe|Jane|TX05|1\nP|Roe|Al|NV01|2\n",
+        "b.txt": "doc_id\tOffice\tLastName\tFirst\tFiling_Type\n3\tCA12\tPoe\tAnn\tA\n",
+        "c.txt": 'First,Last,FilingType,StateDist,DocumentID,Extra\nBo,"Lee, Jr.",O,OH02,4,x\n',
+        "d.txt": "FilingType|Last|First|StateDst|DocID\n",
+        "e.txt": "",
+        "f.txt": "DocID|Last|First|StateDst|FilingType\n5|Moe|Cy|GA01|O\n",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    got = sorted((r.doc_id, r.last, r.first, r.office, r.filing_type) for r in rs.read_bulk_index(spark, str(tmp_path)).collect())
+    assert got == [
+        ("1", "Doe", "Jane", "TX05", "O"), ("2", "Roe", "Al", "NV01", "P"), ("3", "Poe", "Ann", "CA12", "A"),
+        ("4", "Lee, Jr.", "Bo", "OH02", "O"), ("5", "Moe", "Cy", "GA01", "O"),
+    ]
+    assert len(rs.header_groups(spark, str(tmp_path))) == 4
+
+
+def test_corrections_come_from_the_index(spark):
+    index = spark.createDataFrame(
+        [("10070343", "O", "Blumenauer", "Earl", "OR03"), ("7", "O", "BLUMENAUER", "Earl F.", "or03"), ("1", "O", "Blumenauer", "Earl", "WA01"), ("0", "P", "Blumenauer", "Earl", "OR03"),
+         ("9", "A", "Gimenez", "Carlos", "TX01"), ("8", "A", "McHenry", "Paul", "NC10"), ("", "O", "Phillips", "Dean", "MN03")],
+        "doc_id string, filing_type string, last string, first string, office string",
+    )
+    found = dedupe.find_corrections(index, dedupe.known_cases(spark))
+    assert sorted(map(tuple, found.collect())) == [("Blumenauer", "10070343", "7"), ("Gimenez", "10066804", "9")]
+    roster = spark.createDataFrame([("Blumenauer", "10070343"), ("Other", "10070343"), ("gimenez", "10066804"), ("McHenry", "10068784")], "last string, doc_id string")
+    assert sorted(map(tuple, dedupe.apply_corrections(roster, found).collect())) == [("Blumenauer", "7"), ("McHenry", "10068784"), ("Other", "10070343"), ("gimenez", "9")]
