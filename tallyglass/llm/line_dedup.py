@@ -15,9 +15,17 @@ Method.  The first symbols are ranked in order of their line ids, by a range
 sort of the distinct ids.  Round k turns the pair of ranks at i and i + 2**k
 into the rank of the prefix of 2**(k+1) lines, by a range sort of the distinct
 pairs.  Only prefixes that occur twice or more are kept, as all others are
-settled: they share no such prefix with any neighbour in the suffix array.  Two
-overlapping prefixes give the class of a run of any length, which is an interval
-of the suffix array whose common prefixes are at least that long.
+settled: they share no such prefix with any neighbour in the suffix array.
+
+The suffix array holds the starts of runs of 2**k to 2**(k+1) - 1 lines, level
+by level: ordered by the rank of their first 2**k lines, then by that of the
+2**k lines that end the run, which are their first n lines in order; equal ones
+follow each other by document and line.  Two ranks give the longest common
+prefix of neighbours, as far as n.  A stretch of neighbours that share n lines
+is an interval of one repeated run, whose first member stays; every other one
+shares n lines with the row before it, which is all that has to be looked at.
+The array is dealt by range with document and line among the columns, so a run
+that a third of all lines belong to is divided like any other.
 """
 
 from __future__ import annotations
@@ -57,6 +65,23 @@ def _ranked(classes: DataFrame, *by: str) -> DataFrame:
     return settle(classes.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("rank", F.monotonically_increasing_id()), "ranks")
 
 
+def _suffix_neighbours(starts: DataFrame) -> DataFrame:
+    """The starts with ``shared``: lines in common with the start before it in the suffix array, as far as n (0, 2**k or n)."""
+    prefix = ["k", "head", "tail", "n", "run_chars"]
+    order = [*prefix, "key", "pos"]
+    dealt = starts.repartitionByRange(*order).withColumn("range", F.spark_partition_id())
+    own = Window.partitionBy("range").orderBy(*order)
+    array = dealt.withColumns({"before": F.lag(F.struct(*prefix)).over(own), "ends": F.lead("k").over(own).isNull()})
+    array = settle(array, "suffixes")
+    # The first start of a range follows the last one of the range before; one row a range.
+    ends = array.where("ends").select("range", F.lag(F.struct(*prefix)).over(Window.orderBy("range")).alias("across"))
+    array = array.join(ends, "range").withColumn("before", F.coalesce("before", "across"))
+    head = (F.col("before.k") == F.col("k")) & (F.col("before.head") == F.col("head"))
+    whole = head & (F.col("before.tail") == F.col("tail")) & (F.col("before.n") == F.col("n")) & (F.col("before.run_chars") == F.col("run_chars"))
+    shared = F.when(whole, F.col("n")).when(head, F.expr("shiftleft(1, k)")).otherwise(0)
+    return array.withColumn("shared", shared.cast("int"))
+
+
 def repeated_runs(docs: DataFrame, doc: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """key, first, last: the maximal runs of raw line numbers that repeat earlier text; disjoint in each document."""
     lines = settle(_line_table(docs, doc, min_words), "lines")
@@ -85,10 +110,8 @@ def repeated_runs(docs: DataFrame, doc: str = "doc_id", min_words: int = MIN_WOR
     runs = found[0]
     for x in found[1:]:
         runs = runs.unionAll(x)
-    runs = settle(runs, "runs")
-    same = ["k", "n", "run_chars", "head", "tail"]
-    firsts = runs.groupBy(*same).agg(F.min(F.struct("key", "pos")).alias("origin"), F.count("*").alias("c")).where("c > 1").drop("c")
-    later = runs.join(firsts, same).where(F.struct("key", "pos") != F.col("origin"))
+    # Stored, since dealing by range reads it twice.
+    later = _suffix_neighbours(settle(runs, "runs")).where("shared = n")
     order = Window.partitionBy("key").orderBy("raw", "raw_end")
     reach = F.max("raw_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     islands = later.select("key", "raw", "raw_end").withColumn("new", (F.coalesce(reach, F.lit(-2)) < F.col("raw")).cast("int"))
