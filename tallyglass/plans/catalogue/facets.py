@@ -9,6 +9,8 @@ from ...functions import names as nm
 from ...functions import text as tx
 from ...functions import values as vl
 from ...operators import dedupe, joins
+from ...operators import paging as deep
+from ...operators.paging import SortKey
 from ...session import work_folder
 from ...sources import rosters as rs
 from ...sources import tables as tb
@@ -244,6 +246,25 @@ def paginate(v):
     return se.search_holdings(v.holdings, v.member_info, sort_col="no_such", limit=200, offset=300).rows
 
 
+@query(f"""SELECT {_OUT} {_JOIN} WHERE {_LEGEND}
+ORDER BY h.chamber NULLS FIRST, h.last_name NULLS FIRST, h.first_name NULLS FIRST, h.id LIMIT 200 OFFSET 300""")
+def next_page(v):
+    """The page behind the last row of the first 300, found by that row's id."""
+    shown = se.search_holdings(v.holdings, v.member_info, limit=300).rows.select("id").collect()
+    return se.search_holdings(v.holdings, v.member_info, limit=200, after_id=shown[-1].id).rows
+
+
+_OWN = "h.id, h.chamber, h.last_name, h.first_name, h.asset, h.value"
+
+
+@query(f"""SELECT {_OWN} FROM holdings_v h
+ORDER BY h.value DESC NULLS LAST, h.asset NULLS FIRST, h.id LIMIT 500 OFFSET 3000""")
+def deep_page(v):
+    keys = [SortKey("value", descending=True), SortKey("asset"), SortKey("id")]
+    found = deep.deep_page(v.holdings, keys, limit=500, offset=3000)
+    return found.select("id", "chamber", "last_name", "first_name", "asset", "value")
+
+
 _MEMBERS = f"""SELECT coalesce(mi.last_name, h.last_name) AS last_name,
   coalesce(mi.display_first, h.first_name) AS first_name, h.chamber, {_STATE} AS state, mi.party,
   min(h.last_name) AS raw_last {_JOIN}"""

@@ -9,6 +9,7 @@ from ...session import work_folder
 from ...sources import documents as dc
 from ...sources import rosters as rs
 from ...sources import tables as tb
+from ...streaming import append_log as al
 from ...streaming import incremental as inc
 from . import query
 
@@ -196,25 +197,45 @@ def roster_nested(v):
 # -- incremental intake ------------------------------------------------------
 
 
-@query("""SELECT event_id, event_type, value, CAST(2020 + (event_id + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END) % 4 AS INT) AS filing_year FROM events""")
-def incremental_files(v):
-    """Two deliveries through the checkpointed stream; the second overlaps the first and moves some rows to another year."""
-    root = work_folder(v.spark, "intake")
-    schema = T.StructType.fromDDL("event_id bigint, event_type string, value double, seq int, filing_year int")
+_INTAKE = """SELECT event_id, event_type, value, CAST(2020 + (event_id + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END) % 4 AS INT) AS filing_year FROM events"""
+_EVENT = "event_id bigint, event_type string, value double, seq int, filing_year int"
+
+
+def _deliveries(v):
+    """Two deliveries of the events; the second overlaps the first and moves some rows to another year."""
     first = (2020 + F.col("event_id") % 4).cast("int")
     then = (2020 + (F.col("event_id") + F.when(F.col("event_id") % 5 == 0, 1).otherwise(0)) % 4).cast("int")
     rows = v.events.select("event_id", "event_type", "value")
-    sink = inc.year_sink(f"{root}/table", "event_id", "seq")
-    deliveries = [
+    return [
         rows.where("event_id % 3 <> 0").withColumns({"seq": F.lit(1), "value": F.lit(-1.0), "filing_year": first}),
         rows.withColumns({"seq": F.lit(2), "filing_year": then}),
     ]
-    for batch in deliveries:
+
+
+@query(_INTAKE)
+def incremental_files(v):
+    """Both deliveries through the checkpointed stream into year partitions."""
+    root = work_folder(v.spark, "intake")
+    schema = T.StructType.fromDDL(_EVENT)
+    sink = inc.year_sink(f"{root}/table", "event_id", "seq")
+    for batch in _deliveries(v):
         batch.select(*schema.names).write.mode("append").json(f"{root}/inbox")
         inc.ingest_available(v.spark, f"{root}/inbox", schema, f"{root}/checkpoint", sink)
     return v.spark.read.parquet(f"{root}/table").select("event_id", "event_type", "value", "filing_year")
 
 
+@query(_INTAKE)
+def append_log(v):
+    """Both deliveries through the stream into an append log; the second run's compaction merges it with the first's."""
+    root = work_folder(v.spark, "log")
+    schema = T.StructType.fromDDL(_EVENT)
+    log = al.AppendLog(v.spark, f"{root}/table", schema, "event_id", "seq")
+    for batch in _deliveries(v):
+        batch.select(*schema.names).write.mode("append").json(f"{root}/inbox")
+        al.ingest_log(log, f"{root}/inbox", schema, f"{root}/checkpoint")
+    return log.read().select("event_id", "event_type", "value", "filing_year")
+
+
 @query("""SELECT doc_id, n_chars AS length FROM documents d WHERE n_chars > 500
 AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
 def new_files(v):

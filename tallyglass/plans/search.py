@@ -14,8 +14,11 @@ from ..functions import fixed_values as fv
 from ..functions import names as nm
 from ..functions import text as tx
 from ..operators.joins import lookup
+from ..operators.paging import SortKey, after, deep_page
 
 NONE_FACET = "__none__"
+#: Up to this offset a page is a top-k; beyond it the row before the page is found by range counts.
+SHALLOW = 10_000
 _MEMBER = {
     "party": "mi_party",
     "state": "mi_state",
@@ -94,33 +97,41 @@ def with_member(facts: DataFrame, members: DataFrame) -> DataFrame:
     return lookup(facts, members, "bioguide", _MEMBER, spread_by=F.xxhash64("id"))
 
 
-def sort_order(column: str, direction: str, allowed: list[str], default: list[Column]) -> list[Column]:
+def sort_order(column: str, direction: str, allowed: list[str], default: list[SortKey]) -> list[SortKey]:
     """Whitelisted sort column, else the default; the id makes the order total."""
-    if column in allowed:
-        c = F.col(column)
-        return [c.desc_nulls_last() if direction == "desc" else c.asc_nulls_first(), F.col("id")]
-    return [*default, F.col("id")]
+    chosen = [SortKey(column, direction == "desc")] if column in allowed else default
+    return [*chosen, SortKey("id")]
 
 
-def page(df: DataFrame, order: list[Column], limit: int, offset: int, most: int | None = None) -> DataFrame:
+def page(
+    df: DataFrame, order: list[SortKey], limit: int, offset: int, most: int | None = None, after_id: int | None = None
+) -> DataFrame:
     """Sort with limit and offset: each task keeps its best rows, no full sort.
 
     ``most`` is a cap of the caller's own; a request above it, or a negative
-    number, is an error and not another page.
+    number, is an error and not another page.  ``after_id`` starts the page
+    behind the row with that id, whatever rows came or went before it.
     """
     if limit < 0 or offset < 0 or (most is not None and limit > most):
         raise ValueError(f"limit {limit} and offset {offset} must not be negative, limit at most {most}")
-    return df.orderBy(*order).offset(offset).limit(limit)
+    if after_id is not None:
+        last = df.where(F.col("id") == after_id).select(*[k.column for k in order]).first()
+        if last is None:
+            raise ValueError(f"no row with id {after_id} among the rows found")
+        df = after(df, order, tuple(last))
+    if offset > SHALLOW:
+        return deep_page(df, order, limit, offset)
+    return df.orderBy(*[k.order for k in order]).offset(offset).limit(limit)
 
 
 def _page_of(
-    base: DataFrame, members: DataFrame, joined: list, order: list[Column], limit: int, offset: int, most: int | None
+    base: DataFrame, members: DataFrame, joined: list, order: list[SortKey], limit: int, offset: int, most: int | None, after_id: int | None
 ) -> DataFrame:
     """One page with its member columns; without member filters only the page's rows meet the member table."""
     kept = [j for j in joined if j is not None]
     if kept:
-        return page(_where(with_member(base, members), kept), order, limit, offset, most)
-    return with_member(page(base, order, limit, offset, most), members).orderBy(*order)
+        return page(_where(with_member(base, members), kept), order, limit, offset, most, after_id)
+    return with_member(page(base, order, limit, offset, most, after_id), members).orderBy(*[k.order for k in order])
 
 
 def _count(df: DataFrame) -> DataFrame:
@@ -146,6 +157,7 @@ def search_holdings(
     holdings: DataFrame, members: DataFrame, *, member: str = "", asset: str = "",
     chamber: str = "", asset_type: str = "", party: str = "", state: str = "",
     sort_col: str = "", sort_dir: str = "asc", limit: int = 500, offset: int = 0, most: int | None = None,
+    after_id: int | None = None,
 ) -> Page:
     own = [
         not_legend(),
@@ -164,9 +176,9 @@ def search_holdings(
     total = _count(found if any(j is not None for j in joined) else base)
     order = sort_order(
         sort_col, sort_dir, fv.HOLDING_SORT_COLUMNS,
-        [F.asc_nulls_first(c) for c in ("chamber", "last_name", "first_name")],
+        [SortKey(c) for c in ("chamber", "last_name", "first_name")],
     )
-    top = _page_of(base, members, joined, order, limit, offset, most)
+    top = _page_of(base, members, joined, order, limit, offset, most, after_id)
     return Page(total, top.select(*_HOLDING_OUT, *_member_out()))
 
 
@@ -193,6 +205,7 @@ def search_transactions(
     asset_type: str = "", chamber: str = "", tx_type: str = "", date_from: str = "",
     date_to: str = "", party: str = "", state: str = "", sort_col: str = "",
     sort_dir: str = "desc", limit: int = 500, offset: int = 0, most: int | None = None,
+    after_id: int | None = None,
 ) -> Page:
     if transactions is None:
         spark = members.sparkSession
@@ -221,9 +234,9 @@ def search_transactions(
     total = _count(found if any(j is not None for j in joined) else base)
     order = sort_order(
         sort_col, sort_dir, fv.TRANSACTION_SORT_COLUMNS,
-        [F.desc_nulls_last("transaction_date"), F.asc_nulls_first("last_name")],
+        [SortKey("transaction_date", descending=True), SortKey("last_name")],
     )
-    top = _page_of(base, members, joined, order, limit, offset, most)
+    top = _page_of(base, members, joined, order, limit, offset, most, after_id)
     return Page(total, top.select(*_TX_OUT, *_member_out()))
 
 
