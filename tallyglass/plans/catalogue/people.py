@@ -10,7 +10,8 @@ from ...operators import aliases as al
 from ...operators import dedupe
 from ...operators import members as mb
 from ...operators import resolve as rv
-from ...session import settle
+from ...operators.name_dictionary import NameDictionary
+from ...session import settle, work_folder
 from . import query
 
 # -- keep-one rules ----------------------------------------------------------
@@ -254,7 +255,7 @@ flagged AS (SELECT *, max(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY las
 kept AS (SELECT *, count(*) OVER (PARTITION BY last, f, year) AS n FROM flagged WHERE ok OR anyok = 0)"""
 
 
-@query(f"""WITH {_CANDS},
+_RESOLVED = f"""WITH {_CANDS},
 tries AS (SELECT last, f, year, 1 AS tier, f AS key FROM ask
   UNION ALL SELECT last, f, year, 2, split_part(f, ' ', 1) FROM ask WHERE f LIKE '% %'
   UNION ALL SELECT last, f, year, 3, regexp_extract(f, '(\\S+)$', 1) FROM ask WHERE f LIKE '% %'
@@ -265,11 +266,23 @@ scored AS (SELECT k.last, k.f, k.year, k.bioguide, k.max_year, k.seq, t.tier FRO
   UNION ALL SELECT last, f, year, bioguide, max_year, seq, 5 FROM kept WHERE n = 1),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY last, f, year ORDER BY tier, max_year DESC, seq) AS rn
   FROM scored) q WHERE rn = 1)
-SELECT a.id, b.bioguide, b.tier FROM asked a LEFT JOIN best b ON a.last = b.last AND a.f = b.f AND a.year = b.year""")
+SELECT a.id, b.bioguide, b.tier FROM asked a LEFT JOIN best b ON a.last = b.last AND a.f = b.f AND a.year = b.year"""
+
+
+@query(_RESOLVED)
 def resolve_names(v):
     return rv.resolve_names(_asked(v), settle(v.name_index, "index")).select("id", "bioguide", "tier")
 
 
+@query(_RESOLVED)
+def resolve_again(v):
+    """Through the dictionary: two thirds of the names come first, then all, of which the rest is resolved."""
+    index, names = settle(v.name_index, "index"), _asked(v)
+    known = NameDictionary(v.spark, work_folder(v.spark, "names"), buckets=16)
+    known.learn(names.where("id % 3 <> 0"), index, "last_name", "first_name", "year")
+    return known.resolve(names, index).select("id", "bioguide", "tier")
+
+
 @query(f"""WITH {_CANDS} SELECT last, year, max(CASE WHEN ok THEN n END) AS n_overlap, count(DISTINCT bioguide) AS n_kept,
   CASE WHEN count(DISTINCT bioguide) = 1 THEN min(seq) END AS only_seq
 FROM kept GROUP BY last, year""")
