@@ -135,14 +135,20 @@ def conversations(messages: DataFrame, scope: str = "conv_id", seq: str = "turn"
     )
 
 
-def as_mail(turns: DataFrame) -> DataFrame:
+def as_mail(turns: DataFrame, block: int = 4096) -> DataFrame:
     """conv_id, turn, text: each turn as a mail that quotes the turn before it, and that one's own quote of the turn before.
 
-    The quoted depth is two, so a mail is at most three turns long.
+    The quoted depth is two, so a mail is at most three turns long.  All turns are
+    numbered by conversation, turn and text hash and read in blocks of ``block``
+    numbers, each with the two turns before it; so no task holds a conversation.
     """
-    order = Window.partitionBy("conv_id").orderBy("turn", F.xxhash64("text"))
-    back = lambda k: F.coalesce(F.lag("text", k).over(order), F.lit(""))
-    rows = turns.select("conv_id", "turn", "text", back(1).alias("one"), back(2).alias("two"))
+    placed = numbered(turns.select("conv_id", "turn", "text"), "nth", F.col("conv_id"), F.col("turn"), F.xxhash64("text"))
+    home = F.floor(F.col("nth") / block)
+    also = F.when(F.col("nth") % block >= block - 2, F.array(home, home + 1)).otherwise(F.array(home))
+    spread = placed.withColumn("home", home).withColumn("block", F.explode(also))
+    order = Window.partitionBy("block").orderBy("nth")
+    back = lambda k: F.coalesce(F.when(F.lag("conv_id", k).over(order).eqNullSafe(F.col("conv_id")), F.lag("text", k).over(order)), F.lit(""))
+    rows = spread.select("conv_id", "turn", "text", "home", "block", back(1).alias("one"), back(2).alias("two")).where("home = block")
     has = lambda c: word_count(F.col(c)) > 0
     inner = F.when(has("two"), F.concat(F.lit("\n> On the day before, they wrote:\n"), quoted(quoted(F.col("two"))))).otherwise("")
     reply = F.when(has("one"), F.concat(F.lit("\n\nOn that day, they wrote:\n"), quoted(F.col("one")), inner)).otherwise("")

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyglass.llm import quotations, queries
 
@@ -147,3 +148,30 @@ def test_every_turn_finds_the_one_before(spark):
         before = turns.get((r.conv_id, r.turn - 1))
         if before:
             assert r.parent_conv == r.conv_id == r.root_conv and norm(before) in norm(turns[r.parent_conv, r.parent_turn])
+
+
+@pytest.mark.parametrize("block", [2, 3, 7, 4096])
+def test_mails_of_a_hot_conversation(spark, block):
+    """A conversation with a third of all rows is cut into blocks; every mail still quotes the two turns before it."""
+    rnd = random.Random(9)
+    rows = [(rnd.choice([5, None, *range(20)]) if i % 3 else 5, i // 2, rnd.choice([None, "", f"said {i}", f"a {i}\n\nb"])) for i in range(120)]
+    rows += [(7, 900, "same"), (7, 900, "same"), (None, None, "no turn")]
+    rows = [r for i, r in enumerate(rows) if r not in rows[:i] or r[1] == 900]
+    rows = list({(c, t): (c, t, x) for c, t, x in rows if t != 900}.values()) + [(7, 900, "same")] * 2
+    quote = lambda text: "\n".join("> " + x for x in text.split("\n"))
+    want, talks = [], {}
+    for c, t, x in rows:
+        talks.setdefault(c, []).append((t is not None, t or 0, x))
+    for c, talk in talks.items():
+        talk.sort(key=lambda r: r[:2])
+        for i, (known, t, x) in enumerate(talk):
+            one, two = (((talk[i - k][2] or "") if i >= k else "") for k in (1, 2))
+            text = x or ""
+            if one.split():
+                text += "\n\nOn that day, they wrote:\n" + quote(one)
+                if two.split():
+                    text += "\n> On the day before, they wrote:\n" + quote(quote(two))
+            want.append((c, t if known else None, text))
+    got = quotations.as_mail(spark.createDataFrame(rows, SCHEMA).withColumn("nth", F.lit(1)), block).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert quotations.as_mail(spark.createDataFrame([], SCHEMA)).count() == 0
