@@ -1,7 +1,7 @@
 """Near-duplicate embeddings by a forest of random-projection trees.
 
-Trees are fitted on a bounded sample (``sample`` vectors by hash order), every
-vector is indexed.  A node draws random directions and takes the cut with the
+Trees are fitted on a bounded sample (``sample`` vectors by the order of a hash of
+their content), every vector is indexed.  A node draws random directions and takes the cut with the
 fewest vectors near it; vectors within the spill margin go to both sides.  A
 node stays a leaf when it is small, when most of its pairs are already within
 the threshold, or when no cut divides it.  Leaves are compared whole, in blocks,
@@ -9,6 +9,11 @@ in double precision.  A pair that meets in several leaves counts in the first of
 them only, which both vectors can tell from their lists of leaves; so counts add
 up without any pair being stored, and a leaf yields one row per vector.
 
+Leaves that the sample leaves too full (more than twice ``leaf`` vectors) are split
+again in rounds, each by a tree fitted on about ``SPLIT`` of its own vectors, until
+they are small or no cut divides them; so the comparisons grow with the table, not
+with its square.  The vectors of such a leaf pass its tree in slices.
+
 Exact copies are one class first.  A leaf with more than ``most`` classes is
 dealt out as pairs of blocks, so no task holds more than two blocks.
 
@@ -22,17 +27,21 @@ columns are ignored.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, group_roots, settle
 
 TREES, LEAF, SAMPLE = 5, 512, 50_000
+#: Sample of a full leaf that is split again, and vectors that pass its tree together.
+SPLIT, SLICE = 4096, 20_000
 
 
 def grow(x: np.ndarray, threshold: float, leaf: int, rng: np.random.Generator) -> tuple | None:
@@ -128,13 +137,13 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", column: str = "embe
     base = 0  # leaves are numbered through all trees and lengths
     for width in widths:  # nearly always one
         own = classes.where(F.size("v") == width)
-        drawn = own.orderBy(F.xxhash64("cid", F.lit(seed)), "cid").limit(sample).select("v").toArrow()
+        drawn = own.orderBy(F.xxhash64("v", F.lit(seed)), "v").limit(sample).select("v").toArrow()
         x = _matrix(drawn.column("v").combine_chunks(), width)
         enough = max(32, min(leaf, leaf * len(x) // max(1, total)))
         forest = [grow(x, threshold, enough, np.random.default_rng([seed, t])) for t in range(trees)]
-        met = spark.sparkContext.broadcast((forest, base))
+        met = spark.sparkContext.broadcast((forest, base, [_stuck(t, x, enough) for t in forest]))
         base += sum(len(leaves(t, x[:1])) for t in forest)
-        placed = settle(_place(own, met, width), "leaves")
+        placed = _divide(settle(_place(own, met, width), "leaves"), width, threshold, leaf, seed)
         sizes = placed.groupBy("cell").count()
         blocks = settle(sizes.select("cell", F.ceil(F.col("count") / most).cast("int").alias("blocks")).where("blocks > 1"), "blocks")
         dealt = _deal(placed, blocks)
@@ -156,31 +165,92 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", column: str = "embe
     )
 
 
+def _stuck(tree: tuple | None, x: np.ndarray, enough: int) -> list[bool]:
+    """For each leaf, whether it is large because no cut divides it."""
+    return [len(rows) > enough for rows in leaves(tree, x)]
+
+
 def _place(own: DataFrame, met, width: int) -> DataFrame:
-    """A row for each class and leaf it falls in, with the list of all its leaves."""
+    """A row for each class and leaf it falls in, with the list of all its leaves; done if the leaf can't be split."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest, base = met.value
+        forest, base, stuck = met.value
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = _matrix(batch.column(2), width)
             lists, at, pairs = [[] for _ in range(len(x))], base, []
-            for tree in forest:
-                for rows in leaves(tree, x):
+            for tree, large in zip(forest, stuck):
+                for rows, done in zip(leaves(tree, x), large):
                     for i in rows.tolist():
                         lists[i].append(at)
-                    pairs.append((at, rows))
+                    pairs.append((at, rows, done))
                     at += 1
-            cell = np.repeat([c for c, _ in pairs], [len(r) for _, r in pairs])
-            order = np.concatenate([r for _, r in pairs])
+            size = [len(r) for _, r, _ in pairs]
+            cell, done = np.repeat([c for c, _, _ in pairs], size), np.repeat([d for _, _, d in pairs], size)
+            order = np.concatenate([r for _, r, _ in pairs])
             take = batch.take(pa.array(order))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cell.astype(np.int32)), *take.columns, pa.array([lists[i] for i in order.tolist()], pa.list_(pa.int32()))],
-                ["cell", "cid", "weight", "v", "lists"],
+                [pa.array(cell.astype(np.int64)), *take.columns, pa.array([lists[i] for i in order.tolist()], pa.list_(pa.int64())), pa.array(done)],
+                ["cell", "cid", "weight", "v", "lists", "done"],
             )
 
-    return own.select("cid", "weight", "v").mapInArrow(task, "cell int, cid long, weight long, v array<double>, lists array<int>")
+    return own.select("cid", "weight", "v").mapInArrow(task, "cell long, cid long, weight long, v array<double>, lists array<long>, done boolean")
+
+
+def _divide(placed: DataFrame, width: int, threshold: float, leaf: int, seed: int, most_rounds: int = 40) -> DataFrame:
+    """``placed`` with its full leaves split; what is still full after all rounds is compared whole, in blocks."""
+
+    def full(rows: DataFrame) -> DataFrame:
+        return settle(rows.where("NOT done").groupBy("cell").count().where(F.col("count") > 2 * leaf), "full")
+
+    crowded = full(placed)
+    if crowded.isEmpty():
+        return placed.drop("done")
+    active, small = placed.drop("lists"), []
+    for turn in range(most_rounds):
+        small.append(active.join(crowded.select("cell"), "cell", "left_anti"))
+        active = settle(_split(active, crowded, width, threshold, leaf, [seed, turn]), "leaves")
+        crowded = full(active)
+        if crowded.isEmpty():
+            break
+    for part in small:
+        active = active.unionByName(part)
+    lists = active.groupBy("cid").agg(F.collect_list("cell").alias("lists"))
+    return settle(active.drop("done").join(lists, "cid"), "leaves").select("cell", "cid", "weight", "v", "lists")
+
+
+def _split(rows: DataFrame, crowded: DataFrame, width: int, threshold: float, leaf: int, seed: list[int]) -> DataFrame:
+    """cell, cid, weight, v, done of the vectors of full leaves (``crowded``: cell, count) in the leaves of each one's own tree.
+
+    New leaves are named by a hash; two that shared a name would be compared as one, which is right as well.
+    """
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        cell, count = int(group["cell"].iloc[0]), int(group["count"].iloc[0])
+        x = _unit(group["v"], width)
+        enough = max(32, min(leaf, leaf * len(x) // count))
+        tree = grow(x, threshold, enough, np.random.default_rng([*seed, cell % 2**64]))
+        return pd.DataFrame({"cell": [cell], "tree": [pickle.dumps((tree, _stuck(tree, x, enough)))]})
+
+    def deal(members: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+        if not len(members) or not len(trees):  # no vector was drawn: the leaf stays
+            return members[["cell", "cid", "weight", "v"]].assign(done=True)
+        tree, stuck = pickle.loads(trees["tree"].iloc[0])
+        parts, cell = [], int(members["cell"].iloc[0])
+        for i, (own, done) in enumerate(zip(leaves(tree, _unit(members["v"], width)), stuck)):
+            name = np.uint64(xxhash.xxh64_intdigest(f"{cell}/{i}")).astype(np.int64)
+            parts.append(members.iloc[own][["cell", "cid", "weight", "v"]].assign(cell=name, done=done))
+        return pd.concat(parts)
+
+    rows = rows.select("cell", "cid", "weight", "v").join(crowded, "cell")
+    part = F.pmod(F.xxhash64("v", *map(F.lit, seed)), F.lit(2**31)) < F.lit(SPLIT * 2.0**31) / F.col("count")
+    trees = settle(rows.where(part).select("cell", "count", "v").groupBy("cell").applyInPandas(fit, "cell long, tree binary"), "trees")
+    slices = F.ceil(F.col("count") / SLICE)
+    sliced = rows.select("cell", "cid", "weight", "v", F.pmod(F.xxhash64("cid"), slices).alias("slice"))
+    spread = crowded.join(trees, "cell").select(F.col("cell").alias("full"), "tree", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1)).alias("share"))
+    both = sliced.groupBy("cell", "slice").cogroup(spread.groupBy("full", "share"))
+    return both.applyInPandas(deal, "cell long, cid long, weight long, v array<double>, done boolean")
 
 
 def _deal(placed: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -191,12 +261,17 @@ def _deal(placed: DataFrame, blocks: DataFrame) -> DataFrame:
     return spread.select("cell", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "cid", "weight", "v", "lists")
 
 
+def _unit(vectors: pd.Series, width: int) -> np.ndarray:
+    """Vectors of one length as unit rows."""
+    x = np.array(vectors.tolist(), np.float64).reshape(-1, width)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _leaf_task(width: int, threshold: float):
     def task(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("cid")
-        x = np.array(group["v"].tolist(), np.float64).reshape(-1, width)
-        x = x / np.abs(x).max(axis=1, keepdims=True)
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        x = _unit(group["v"], width)
         cell, across = int(group["cell"].iloc[0]), group["bi"].iloc[0] != group["bj"].iloc[0]
         cid = group["cid"].to_numpy()
         n, root = compare(x, group["weight"].to_numpy(), [list(c) for c in group["lists"]], cell, threshold, group["block"].to_numpy() if across else None)

@@ -132,3 +132,26 @@ def test_forest_without_vectors(spark):
     assert forest.near_duplicates(empty).count() == 0
     nothing = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in forest.near_duplicates(nothing).orderBy("vec_id").collect()] == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_forest_beyond_its_sample(spark, monkeypatch):
+    """A table of 16 times the sample: full leaves are split until they are small, with the links still found, for any partitioning."""
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((16_000, 32))
+    for g in range(400):
+        x[g * 8 + 1 : g * 8 + 8] = x[g * 8] + 0.2 * rng.standard_normal((7, 32))
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rounds, leaf_sizes, split, deal = [], [], forest._split, forest._deal
+    monkeypatch.setattr(forest, "SPLIT", 512)
+    monkeypatch.setattr(forest, "SLICE", 700)
+    monkeypatch.setattr(forest, "_split", lambda *a: rounds.append(1) or split(*a))
+    monkeypatch.setattr(forest, "_deal", lambda placed, blocks: leaf_sizes.append(placed.groupBy("cell").count().agg(F.max("count")).first()[0]) or deal(placed, blocks))
+    run = lambda d: {r.vec_id: (r.n_links, r.component_id, r.kept) for r in forest.near_duplicates(d, leaf=128, sample=1000).collect()}
+    got = run(df.repartition(3))
+    assert rounds and max(leaf_sizes) <= 256
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    true = sum(int((x[i : i + 1000] @ x.T >= 0.9).sum()) - 1000 for i in range(0, len(x), 1000))
+    found = sum(n for n, _, _ in got.values())
+    print("recall", found / true, "of", true, "rounds", len(rounds), "leaf", leaf_sizes)
+    assert 0.95 * true <= found <= true
+    assert run(df.repartition(7, "vec_id")) == got
