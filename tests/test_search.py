@@ -260,3 +260,17 @@ def test_sql_reads(spark, holdings):
 def test_sql_refuses_everything_else(spark, sql):
     with pytest.raises(se.NotASelect):
         se.run_select(spark, sql)
+
+
+@pytest.mark.parametrize("how", [{}, {"sort_col": "asset", "sort_dir": "desc"}, {"party": "republican"}])
+def test_deep_and_next_pages(holdings, members, monkeypatch, how):
+    """Beyond the shallow offsets, and behind a row's id, pages are those of offset and limit."""
+    find = lambda **more: ids(se.search_holdings(holdings, members, **how, **more))
+    whole = find()
+    with monkeypatch.context() as m:
+        m.setattr(se, "SHALLOW", 0)
+        assert find(limit=2, offset=1) == whole[1:3]
+        assert find(limit=5, offset=99) == []
+    assert find(limit=2, after_id=whole[1]) == whole[2:4]
+    with pytest.raises(ValueError):
+        find(after_id=10)  # a legend row is not among the rows found
