@@ -202,30 +202,22 @@ def house_quality_flags(cells: DataFrame, order: Order) -> DataFrame:
 # -- Senate annual tables ----------------------------------------------------
 
 
-def senate_holdings(cells: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """Rows of each report's first asset table, by position, headers dropped."""
-    clean = cells.withColumn("cells", clean_cells(F.col("cells")))
-    heads = F.lower(F.array_join("cells", " "))
-    tables = (
-        clean.where(F.col("is_header"))
-        .groupBy(doc, "page", "table_no")
-        .agg(
-            F.max(F.contains(heads, F.lit("asset"))).alias("a"),
-            F.max(F.contains(heads, F.lit("value"))).alias("v"),
-        )
-        .where(F.col("a") & F.col("v"))
-        .groupBy(doc)
-        .agg(F.min(F.struct("page", "table_no")).alias("t"))
-        .select(doc, F.col("t.page").alias("page"), F.col("t.table_no").alias("table_no"))
-    )
+def senate_holdings(reports: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """Rows of each report's first asset table, by position, headers dropped; ``reports`` as :func:`html_report` gives them."""
+
+    def headed(table: Column, word: str) -> Column:
+        heads = F.filter(table["rows"], lambda r: r["is_header"])
+        return F.exists(heads, lambda r: F.contains(F.lower(F.array_join(clean_cells(r["cells"]), " ")), F.lit(word)))
+
+    first = F.get(F.filter("tables", lambda t: headed(t, "asset") & headed(t, "value")), F.lit(0))
+    rows = reports.select(doc, first.alias("t")).select(doc, F.col("t.table_no").alias("table_no"), F.explode("t.rows").alias("r"))
+    data = rows.where(~F.col("r.is_header") & (F.size("r.cells") >= 7))
     names = ["asset", "asset_type", "owner", "value", "income_type", "income"]
-    rows = clean.join(tables, [doc, "page", "table_no"], "left_semi").where(
-        ~F.col("is_header") & (F.size("cells") >= 7)
+    return (
+        data.select(doc, "table_no", F.col("r.row_no").alias("row_no"), clean_cells(F.col("r.cells")).alias("cells"))
+        .select(doc, "table_no", "row_no", *[F.get("cells", F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
+        .where(~F.lower("asset").isin("asset", ""))
     )
-    return rows.select(
-        doc, "page", "table_no", "row_no",
-        *[F.get("cells", F.lit(i + 1)).alias(n) for i, n in enumerate(names)],
-    ).where(~F.lower("asset").isin("asset", ""))
 
 
 # -- judiciary text ----------------------------------------------------------
@@ -701,20 +693,22 @@ def _plain_record(asset: Column) -> Column:
     )
 
 
-def senate_ptr(cells: DataFrame, table: list[str], row: list[str]) -> DataFrame:
-    """Transactions of Senate periodic reports; columns come from the <th> cells."""
-    heads = (
-        cells.where(F.col("is_header"))
-        .transform(lambda d: best_row(d.select(*table, *row, "cells"), table, *[F.col(c) for c in row]))
-        .where(F.exists("cells", lambda c: F.lower(c).rlike("asset|transaction")))
-        .select(*table, column_map(F.col("cells"), SENATE_ROLES).alias("roles"))
+def senate_ptr(reports: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """Transactions of Senate periodic reports; columns come from the first <th> row of each table."""
+    head = F.get(F.filter("t.rows", lambda r: r["is_header"]), F.lit(0))["cells"]
+    tables = reports.select(doc, F.explode("tables").alias("t")).select(
+        doc, F.col("t.table_no").alias("table_no"), head.alias("head"), F.col("t.rows").alias("rows")
     )
-    data = cells.where(~F.col("is_header")).join(heads, table)
+    named = tables.where(F.exists("head", lambda c: F.lower(c).rlike("asset|transaction")))
+    named = named.withColumn("roles", column_map(F.col("head"), SENATE_ROLES))
+    rows = named.select(doc, "table_no", "roles", F.explode("rows").alias("r"))
+    data = rows.where(~F.col("r.is_header")).select(doc, "table_no", F.col("r.row_no").alias("row_no"), F.col("r.cells").alias("cells"), "roles")
     c, r = clean_cells(F.col("cells"), True), F.col("roles")
     asset = mapped(c, r, "asset")
     return data.where(~F.lower(asset).isin("asset name", "n/a", "")).select(
-        *table,
-        *row,
+        doc,
+        "table_no",
+        "row_no",
         vl.normalize_date(mapped(c, r, "tx_date")).alias("transaction_date"),
         vl.normalize_date(mapped(c, r, "disc_date")).alias("disclosure_date"),
         asset.alias("asset"),

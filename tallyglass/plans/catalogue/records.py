@@ -300,15 +300,15 @@ def house_ptr(v):
     return st.house_ptr(v.ptr_rows, ["doc_id"], ["row_no", "sub", "sub2"])
 
 
-def _report_cells(v):
-    return dc.html_cells(v.reports, "report_id", "html")
+def _reports(v):
+    return dc.html_report(v.reports, "report_id", "html")
 
 
 @query("""SELECT o_orderkey AS doc_id, 'Fund ' || CAST(o_custkey AS VARCHAR) AS asset, 'Stock' AS asset_type, 'Self' AS owner,
   '$1,001 - $15,000' AS value, '$' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS income_type, 'None' AS income
 FROM orders WHERE o_orderkey % 3 <> 2""")
 def senate_holdings(v):
-    return st.senate_holdings(_report_cells(v)).select(
+    return st.senate_holdings(_reports(v)).select(
         "doc_id", "asset", "asset_type", "owner", "value", "income_type", "income"
     )
 
@@ -320,7 +320,7 @@ FROM orders WHERE o_orderkey % 3 = 2
 UNION ALL SELECT o_orderkey, '', '', 'Fund ' || CAST(o_custkey AS VARCHAR), 'Stock', '', '$' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR), '', 'None'
 FROM orders WHERE o_orderkey % 3 <> 2""")
 def senate_ptr(v):
-    return st.senate_ptr(_report_cells(v), ["doc_id", "page", "table_no"], ["row_no"]).select(
+    return st.senate_ptr(_reports(v)).select(
         "doc_id", "transaction_date", "disclosure_date", "asset", "asset_type", "transaction_type", "amount",
         "ticker", "comment",
     )

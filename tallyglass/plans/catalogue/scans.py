@@ -122,7 +122,7 @@ def page_filer(v):
     # Some reports have their heading at another level, and unclosed paragraphs above the one with the state.
     html = F.when(F.col("report_id") % 4 == 1, F.regexp_replace("html", "h2>", "h4>")).otherwise(F.col("html"))
     html = F.when(F.col("report_id") % 5 == 2, F.regexp_replace(html, "<p>State", "<p>first<p>second<p>State")).otherwise(html)
-    found = dc.report_headings(v.reports.withColumn("html", html), "report_id")
+    found = dc.html_report(v.reports.withColumn("html", html), "report_id")
     return found.select(
         "doc_id", dc.page_filer(F.col("title"), F.col("heading"), F.col("body")).alias("f"), dc.heading_filer("heading").alias("h")
     ).select("doc_id", "f.*", F.col("h.last").alias("head_last"), F.col("h.first").alias("head_first"))
