@@ -1,14 +1,22 @@
 """Quality rules with risk-controlled cutoffs.
 
-Each rule is a score of a text, higher is worse.  For each stratum and rule the
-labelled documents decide the cutoff: a cutoff counts as safe when an exact
-binomial test rules out that it rejects more than ``risk / rules`` of the good
-documents of that stratum.  Cutoffs are tested from the loosest to the strictest
-and testing stops at the first failure (fixed-sequence testing); the level
-``error`` is divided by rules and strata (Bonferroni).  So with probability
-1 - ``error`` no stratum loses more than the share ``risk`` of its good
-documents.  Among the safe cutoffs the one that best parts bad from good is
-taken, and none where no cutoff helps or too few labels exist.
+Each rule is a score of a text, higher is worse.  The labelled texts are split by
+hash, copies of a text into one part.  On the first part each stratum chooses its
+rules: every rule's best cutoff is looked for, texts are counted by the set of
+rules that reach theirs, and rules are taken one by one while another one still
+catches a share ``LEAST`` of the bad texts that the others miss, and while the
+second part has enough good texts to test one rule more.
+
+On the second part the ``m`` chosen rules get their cutoffs: a cutoff counts as
+safe when an exact binomial test rules out that it rejects more than ``risk / m``
+of the good documents of that stratum.  Cutoffs are tested from the loosest to
+the strictest and testing stops at the first failure (fixed-sequence testing); the
+level ``error`` is divided by strata and by the ``m`` rules (Bonferroni).  The
+choice knows nothing of the labels that test it, so with probability 1 - ``error``
+no stratum loses more than the share ``risk`` of its good documents, and rules that
+are not chosen cost no power: with four strata 72 good texts in the second part
+(108 in all) can test one rule, 174 two.  Among the safe cutoffs the one that best
+parts bad from good is taken, and none where no cutoff helps or too few labels exist.
 
 Edge cases: a null text counts as empty (no words, so the base rule fails it);
 null strata are a stratum of their own; labels that are null or have no document
@@ -21,6 +29,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -32,6 +42,8 @@ from .common import settle
 
 RULES = ("symbols", "capitals", "marks", "repeats", "same_lines", "long_words", "short_words")
 STEPS = 400  # cutoffs lie on a grid of this many steps over each score's range, 0 to 1
+PARTS, CHOOSING = 3, 1  # of so many parts of the labelled texts, this many choose the rules
+LEAST = 0.01  # share of the bad texts that a further rule must catch, net of what it costs
 SYMBOLS = b"#*$%&|<>"
 
 
@@ -145,42 +157,104 @@ def safe_cutoff(step: np.ndarray, good: np.ndarray, bad: np.ndarray, n_good: int
     return chosen
 
 
+def likely_cutoff(step: np.ndarray, good: np.ndarray, bad: np.ndarray, risk: float) -> int | None:
+    """The step that parts bad from good best among those that reject ``risk`` of the good ones or less; nothing is tested."""
+    order = np.argsort(-step)
+    k, b = np.cumsum(good[order]), np.cumsum(bad[order])
+    if not len(order) or not k[-1] or not b[-1]:
+        return None
+    gain = np.where(k <= risk * k[-1], b / b[-1] - 4 * k / k[-1], 0.0)
+    best = int(np.argmax(gain))
+    return int(step[order][best]) if gain[best] > 0 else None
+
+
+def choose_rules(mask: np.ndarray, good: np.ndarray, bad: np.ndarray, n_test: int, risk: float, level: float) -> list[int]:
+    """The rules to test, best first; ``mask`` has a bit for each rule that a group of texts reaches, ``n_test`` good texts will test them."""
+    chosen: list[int] = []
+    n_good, n_bad = max(1, int(good.sum())), max(1, int(bad.sum()))
+    left = np.ones(len(mask), bool)
+    while len(chosen) < len(RULES):
+        m = len(chosen) + 1
+        if binomial_below(0, n_test, risk / m) > level / m:
+            break  # not even a cutoff that rejects no good text could pass
+        hits = [left & (mask >> i & 1 == 1) for i in range(len(RULES))]
+        gains = [bad[h].sum() / n_bad - 4 * good[h].sum() / n_good if i not in chosen else -1.0 for i, h in enumerate(hits)]
+        best = int(np.argmax(gains))
+        if gains[best] < LEAST:
+            break
+        chosen.append(best)
+        left &= ~hits[best]
+    return chosen
+
+
+def _good_and_bad():
+    return F.sum(F.when(F.col("quality") >= 1, 1).otherwise(0)).alias("good"), F.sum(F.when(F.col("quality") < 1, 1).otherwise(0)).alias("bad")
+
+
+def _per_stratum(rules: DataFrame) -> DataFrame:
+    """stratum, steps: rule to step."""
+    return rules.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "step"))).alias("steps"))
+
+
+def _with_stratum(rows: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
+    """Joined by stratum, null being one of its own."""
+    return rows.join(other.withColumnRenamed("stratum", "_stratum"), F.col("stratum").eqNullSafe(F.col("_stratum")), how).drop("_stratum")
+
+
+def _reached(steps) -> list:
+    """For each rule whether the row's step reaches that of the map ``steps``."""
+    own = F.col("own_steps")
+    return [F.coalesce(own[i] >= F.element_at(steps, F.lit(i)), F.lit(False)) for i in range(len(RULES))]
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, key: str = "doc_id", risk: float = 0.05, error: float = 0.1) -> DataFrame:
-    """stratum, steps: for each rule the grid step from which the stratum's documents are rejected (null: never).
+    """stratum, steps: for each chosen rule the grid step from which the stratum's documents are rejected.
 
-    All labels count.  They are counted per stratum, rule and grid step before
-    anything is gathered, so a group that is tested has at most STEPS + 1 rows.
+    All labels count.  They are counted per stratum, rule and grid step, and per
+    stratum and set of rules, before anything is gathered: a group that is tested
+    has at most STEPS + 1 rows, one that chooses 2 to the number of rules.
     """
     truth = labels.where("quality IS NOT NULL").groupBy(F.col(key).alias("key")).agg(F.max("quality").alias("quality"))
-    known = measured.where(~base_failed()).join(truth, "key").select("stratum", "quality", F.posexplode(_steps()).alias("rule", "step"))
-    table = settle(
-        known.groupBy("stratum", "rule", "step").agg(
-            F.sum(F.when(F.col("quality") >= 1, 1).otherwise(0)).alias("good"), F.sum(F.when(F.col("quality") < 1, 1).otherwise(0)).alias("bad")
-        ), "grid",
-    )
-    strata = table.select("stratum").distinct().count()
-    share, level = risk / len(RULES), error / len(RULES) / max(1, strata)
+    choosing = (F.pmod(F.xxhash64(F.lit("part"), "text_hash"), F.lit(PARTS)) < CHOOSING).alias("choosing")
+    known = measured.where(~base_failed()).join(truth, "key").select("stratum", "quality", choosing, _steps().alias("own_steps"))
+    known = settle(known, "labelled")
+    places = known.select("stratum", "quality", "choosing", F.posexplode("own_steps").alias("rule", "step"))
+    grid = settle(places.groupBy("stratum", "choosing", "rule", "step").agg(*_good_and_bad()), "grid")
+    level = error / max(1, grid.select("stratum").distinct().count())
+
+    def guess(group: pd.DataFrame) -> pd.DataFrame:
+        at = likely_cutoff(group["step"].to_numpy(), group["good"].to_numpy(), group["bad"].to_numpy(), risk)
+        return pd.DataFrame({"stratum": group["stratum"][:1], "rule": group["rule"][:1], "step": pd.array([at], "Int32")})
+
+    likely = grid.where("choosing").groupBy("stratum", "rule").applyInPandas(guess, "stratum string, rule int, step int").where("step IS NOT NULL")
+    rows = _with_stratum(known.where("choosing"), _per_stratum(likely))
+    mask = sum((F.when(hit, 1 << i).otherwise(0) for i, hit in enumerate(_reached(F.col("steps")))), F.lit(0))
+    masks = rows.groupBy("stratum", mask.alias("mask")).agg(*_good_and_bad())
+    testing = known.where(~F.col("choosing")).groupBy("stratum").agg(_good_and_bad()[0].alias("n_test"))
+
+    def choose(group: pd.DataFrame) -> pd.DataFrame:
+        rules = choose_rules(*(group[c].to_numpy() for c in ("mask", "good", "bad")), int(group["n_test"].iloc[0]), risk, level)
+        count = len(rules)
+        return pd.DataFrame({"stratum": pd.Series([group["stratum"].iloc[0]] * count, dtype=object), "chosen": pd.Series(rules, dtype="int32"), "m": pd.Series([count] * count, dtype="int32")})
+
+    chosen = _with_stratum(masks, testing).groupBy("stratum").applyInPandas(choose, "stratum string, chosen int, m int")
 
     def test(group: pd.DataFrame) -> pd.DataFrame:
-        good, bad = group["good"].to_numpy(), group["bad"].to_numpy()
-        at = safe_cutoff(group["step"].to_numpy(), good, bad, int(good.sum()), int(bad.sum()), share, level)
+        good, bad, m = group["good"].to_numpy(), group["bad"].to_numpy(), int(group["m"].iloc[0])
+        at = safe_cutoff(group["step"].to_numpy(), good, bad, int(good.sum()), int(bad.sum()), risk / m, level / m)
         return pd.DataFrame({"stratum": group["stratum"][:1], "rule": group["rule"][:1], "step": pd.array([at], "Int32")})
 
-    tested = table.groupBy("stratum", "rule").applyInPandas(test, "stratum string, rule int, step int").where("step IS NOT NULL")
-    return settle(tested.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "step"))).alias("steps")), "cutoffs")
+    asked = _with_stratum(grid.where(~F.col("choosing")), chosen).where("rule = chosen")
+    tested = asked.groupBy("stratum", "rule").applyInPandas(test, "stratum string, rule int, step int").where("step IS NOT NULL")
+    return settle(_per_stratum(tested), "cutoffs")
 
 
 def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang", risk: float = 0.05, error: float = 0.1) -> DataFrame:
     """The measured rows with base_failed and kept."""
     measured = settle(measure(docs, key, stratum), "measured")
-    limits = cutoffs(measured, labels, key, risk, error).withColumnRenamed("stratum", "_stratum")
-    joined = measured.join(limits, F.col("stratum").eqNullSafe(F.col("_stratum")), "left").drop("_stratum")
-    steps = _steps()
-    over = [F.coalesce(steps[i] >= F.element_at("steps", F.lit(i)), F.lit(False)) for i in range(len(RULES))]
-    rejected = over[0]
-    for x in over[1:]:
-        rejected = rejected | x
-    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~rejected).drop("steps")
+    joined = _with_stratum(measured.withColumn("own_steps", _steps()), cutoffs(measured, labels, key, risk, error), "left")
+    rejected = reduce(or_, _reached(F.col("steps")))
+    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~rejected).drop("steps", "own_steps")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", **how) -> DataFrame:

@@ -79,6 +79,71 @@ def test_false_rejection_is_limited():
     assert over <= 300 * 0.1
 
 
+def test_small_stratum_gets_a_cutoff(spark):
+    """150 good labels are too few for seven rules at once, and enough for the one that is chosen; 40 are not."""
+    rng = np.random.default_rng(4)
+    rows, labels = [], []
+    for lang, n in (("big", 2000), ("small", 220), ("tiny", 60), (None, 220)):
+        for _ in range(n):
+            bad = rng.random() < 0.3
+            text = " ".join("w" + str(x) + ("%%%%" if bad else "") for x in rng.integers(0, 10**6, 60))
+            rows.append((len(rows), text, lang, "s", 1))
+            labels.append((len(rows) - 1, int(not bad), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = quality.judge(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    truth = {i: q for i, q, _ in labels}
+    assert all(r.kept == (truth[r.key] == 1) for r in got if r.stratum != "tiny")
+    assert all(r.kept for r in got if r.stratum == "tiny")
+
+
+def test_rules_that_add_nothing_are_not_chosen():
+    # Rules 0 and 2 fire together, 1 catches what they miss, 3 costs more than it catches.
+    mask, good, bad = np.array([0, 0b101, 0b10, 0b1000]), np.array([500, 1, 0, 30]), np.array([5, 60, 30, 5])
+    assert quality.choose_rules(mask, good, bad, 2000, 0.05, 0.025) == [0, 1]
+    assert quality.choose_rules(mask, good, bad, 173, 0.05, 0.025) == [0]  # 174 are needed for two
+    assert quality.choose_rules(mask, good, bad, 174, 0.05, 0.025) == [0, 1]
+    assert quality.choose_rules(mask, good, bad, 71, 0.05, 0.025) == []
+    assert quality.choose_rules(mask, good, np.zeros(4, int), 2000, 0.05, 0.025) == []
+    assert quality.choose_rules(np.array([], int), np.array([], int), np.array([], int), 2000, 0.05, 0.025) == []
+
+
+def test_likely_cutoff_against_all_steps():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        step, good, bad = rng.permutation(30), rng.integers(0, 20, 30), rng.integers(0, 9, 30)
+        gains = {}
+        for s in step:
+            k, b = good[step >= s].sum(), bad[step >= s].sum()
+            if k <= 0.2 * good.sum():
+                gains[int(s)] = b / bad.sum() - 4 * k / good.sum()
+        best = max(gains.values(), default=0)
+        at = quality.likely_cutoff(step, good, bad, 0.2)
+        assert (at is None) == (best <= 0) and (at is None or gains[at] == pytest.approx(best))
+    none = np.zeros(30, int)
+    assert quality.likely_cutoff(step, good, none, 0.2) is quality.likely_cutoff(step, none, bad, 0.2) is None
+
+
+def test_chosen_rules_keep_the_promise():
+    """Seven scores that say nothing: over many draws of both parts hardly any stratum loses more than the risk."""
+    rng, over = np.random.default_rng(7), 0
+    for _ in range(200):
+        draw = lambda n: rng.integers(0, 100, (n, len(quality.RULES)))
+        choose_good, choose_bad, test_good, test_bad = draw(150), draw(60), draw(300), draw(120)
+        count = lambda rows, i: np.bincount(rows[:, i], minlength=100)
+        step, bits = np.arange(100), 2 ** np.arange(len(quality.RULES))
+        likely = [quality.likely_cutoff(step, count(choose_good, i), count(choose_bad, i), 0.05) for i in range(len(quality.RULES))]
+        at = np.array([1000 if x is None else x for x in likely])
+        masks = np.concatenate([(choose_good >= at) @ bits, (choose_bad >= at) @ bits])
+        good = np.repeat([1, 0], [150, 60])
+        rules = quality.choose_rules(masks, good, 1 - good, 300, 0.05, 0.1)
+        lost = 0.0
+        for i in rules:
+            cut = quality.safe_cutoff(step, count(test_good, i), count(test_bad, i), 300, 120, 0.05 / len(rules), 0.1 / len(rules))
+            lost += 0 if cut is None else (100 - cut) / 100
+        over += lost > 0.05
+    assert over <= 200 * 0.1
+
+
 BASE = {
     "assign": (re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[2]) >= 8),
     "access": (re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 16),
