@@ -11,6 +11,7 @@ from ...functions import values as vl
 from ...operators import dedupe, joins
 from ...operators import paging as deep
 from ...operators.paging import SortKey
+from ...operators.text_index import TextIndex, write_clustered
 from ...session import work_folder
 from ...sources import rosters as rs
 from ...sources import tables as tb
@@ -65,6 +66,16 @@ def search_asset(v):
     )
 
 
+@query("SELECT id, asset, asset_type FROM holdings_v WHERE asset ILIKE '%ring brand_1%' OR asset_type ILIKE '%ring brand_1%'")
+def search_asset_indexed(v):
+    """As search_asset over a stored table: only files that can hold the words are opened."""
+    root = work_folder(v.spark, "indexed")
+    write_clustered(v.holdings.select("id", "asset", "asset_type"), f"{root}/table", "asset", 32)
+    index = TextIndex(v.spark, f"{root}/table", f"{root}/index", {"asset": "asset", "asset_type": "asset_type"})
+    index.refresh()
+    return index.search("ring BRAND_1", "asset", "asset_type")
+
+
 @query("""SELECT id, asset_type FROM holdings_v
 WHERE asset_type ILIKE '%prom%' OR asset_type ILIKE '%stand%' OR asset_type IS NULL OR trim(asset_type) = ''""")
 def facet_multi(v):
