@@ -234,3 +234,37 @@ TRANSACTION_SORT_COLUMNS = [
     "chamber", "last_name", "first_name", "state", "transaction_date",
     "disclosure_date", "asset", "asset_type", "transaction_type", "amount", "ticker",
 ]
+
+# --- fixed values: patterns of the cells and lines of the forms
+MONEY = r"\$[\d,]+"
+DATE_CELL = r"^\d{1,2}/\d{1,2}/\d{2,4}$"
+ANY_DATE = r"\d{1,2}[/\-]\d{1,2}[/\-]\d{2,4}"
+TX_TYPE_CELL = r"(?i)^(?:P|S|S\s*\(partial\)|Buy|Sell|Exchange)$"
+TX_TYPE_WORDS = r"(?i)\b(purchase|sale\s*\(full\)|sale\s*\(partial\)|exchange|received)"
+OWNER_HEAD = r"(?i)^(DC|SP|JT|dep\.?\s*child)\s+"
+
+# --- fixed values: patterns of the judiciary form
+JUDICIAL_LEGEND = r"(?i)^\d+\.\s+(Income Gain Codes|Value Codes|Value Method)"
+JUDICIAL_PAGE = r"(?i)^(Page\s+\d+\s+of\s+\d+|<!--\s*page\s+\d+)"
+JUDICIAL_CONTINUED = r"(?i)^\((?:part\.?|add'?l\.?)\)\s*"
+
+# --- fixed values: patterns of the executive form
+EXECUTIVE_SCHEDULE = r"(?i)^Schedule\s+1\s+for\s+Part\s+(\d+)"
+EXECUTIVE_PART = r"(?i)^Part\s+(\d+)[:\s]"
+EXECUTIVE_ROW = r"^\d+(?:\.\d+)?\s+"
+EXECUTIVE_MONEY = (
+    r"(?i)(None\s*\(or less than[^)]+\)"
+    r"|\$[\d,]+(?:\s*(?:to|-)\s*\$?[\d,]+(?:\.\d+)?)?)"
+)
+EXECUTIVE_INCOME = r"(?i)\b(DIVIDEND|INTEREST|RENT|ROYALT\w+|OTHER)\b"
+EIF_START = r"(?i)^(?:Yes|No|N/A)\b"
+EIF_INSIDE = r"(?i)^(.*?)(\s+(?:Yes|No|N/A)\s+.*)$"
+
+# --- fixed values: patterns of periodic reports whose cells are merged
+SPLIT_AMOUNT = r"\$[\d,]+\s*-\s*$"
+ONE_AMOUNT = r"\$[\d,]+(?:\.\d+)?"
+MONEY_RANGE = r"(\$[\d,]+\s*[-–]\s*\$[\d,]+)"
+MERGED_TYPE = (
+    r"(?:^|\s)((?i:S\s*\(partial\)|S\s*\(full\)|Sale\s*\(partial\)|Sale\s*\(full\)"
+    r"|Exchange\s+\(New\)|Received\s*\(New\))|P|S)(?:\s|$)"
+)

@@ -9,15 +9,9 @@ from . import fixed_values as fv
 from .names import _lookup
 from .text import STRIP_CLASS, as_col, clean, let, strip_all
 
-MONEY = r"\$[\d,]+"
-DATE_CELL = r"^\d{1,2}/\d{1,2}/\d{2,4}$"
-TX_TYPE_CELL = r"(?i)^(?:P|S|S\s*\(partial\)|Buy|Sell|Exchange)$"
-
-_DATE = r"\d{1,2}[/\-]\d{1,2}[/\-]\d{2,4}"
-
 
 def has_money(c: Column | str) -> Column:
-    return as_col(c).rlike(MONEY)
+    return as_col(c).rlike(fv.MONEY)
 
 
 def normalize_date(c: Column | str) -> Column:
@@ -34,7 +28,7 @@ def normalize_date(c: Column | str) -> Column:
         )
 
     def read(s: Column) -> Column:
-        hit = F.translate(F.regexp_extract(s, _DATE, 0), "/", "-")
+        hit = F.translate(F.regexp_extract(s, fv.ANY_DATE, 0), "/", "-")
         return let(
             hit,
             lambda h: F.when((h == "") | s.rlike(r"^\d{4}-\d{2}-\d{2}$"), s).otherwise(iso(h)),
@@ -92,7 +86,7 @@ def tx_type(c: Column | str) -> Column:
     c = as_col(c)
     words = F.lower(
         F.regexp_extract(
-            c, r"(?i)\b(purchase|sale\s*\(full\)|sale\s*\(partial\)|exchange|received)", 1
+            c, fv.TX_TYPE_WORDS, 1
         )
     )
     return let(
@@ -137,28 +131,20 @@ def owner_label(c: Column | str) -> Column:
 def split_owner(c: Column | str) -> Column:
     """Leading owner code of a merged row and the rest; no code means DC."""
     c = as_col(c)
-    code = F.regexp_extract(c, r"(?i)^(DC|SP|JT|dep\.?\s*child)\s+", 1)
+    code = F.regexp_extract(c, fv.OWNER_HEAD, 1)
     return F.struct(
         F.when(code == "", "DC").otherwise(F.upper(code)).alias("owner"),
-        strip_all(F.regexp_replace(c, r"(?i)^(?:DC|SP|JT|dep\.?\s*child)\s+", "")).alias("rest"),
+        strip_all(F.regexp_replace(c, fv.OWNER_HEAD, "")).alias("rest"),
     )
 
 
 # -- executive form ----------------------------------------------------------
 
-_EXEC_MONEY = (
-    r"(?i)(None\s*\(or less than[^)]+\)"
-    r"|\$[\d,]+(?:\s*(?:to|-)\s*\$?[\d,]+(?:\.\d+)?)?)"
-)
-EXEC_MONEY_HEAD = _EXEC_MONEY
-EIF_START = r"(?i)^(?:Yes|No|N/A)\b"
-_EIF_INSIDE = r"(?i)^(.*?)(\s+(?:Yes|No|N/A)\s+.*)$"
-
 
 def parse_values(c: Column | str) -> Column:
     """Value, income type and income out of the value columns of one line."""
     c = as_col(c)
-    amounts = F.regexp_extract_all(c, F.lit(_EXEC_MONEY), F.lit(1))
+    amounts = F.regexp_extract_all(c, F.lit(fv.EXECUTIVE_MONEY), F.lit(1))
 
     def amount(i: int) -> Column:
         raw = F.get(amounts, F.lit(i))
@@ -166,7 +152,7 @@ def parse_values(c: Column | str) -> Column:
             F.lower(raw).startswith("none"), "None / <$1,001"
         ).otherwise(F.regexp_replace(strip_all(raw), r"\s+", " "))
 
-    word = F.regexp_extract(c, r"(?i)\b(DIVIDEND|INTEREST|RENT|ROYALT\w+|OTHER)\b", 1)
+    word = F.regexp_extract(c, fv.EXECUTIVE_INCOME, 1)
     return F.struct(
         amount(0).alias("value"),
         F.initcap(word).alias("income_type"),
@@ -177,10 +163,10 @@ def parse_values(c: Column | str) -> Column:
 def eif_split(c: Column | str) -> Column:
     """Text before the first Yes/No/N/A token and the text from there on."""
     c = as_col(c)
-    hit = c.rlike(_EIF_INSIDE)
+    hit = c.rlike(fv.EIF_INSIDE)
     return F.struct(
-        F.when(hit, strip_all(F.regexp_extract(c, _EIF_INSIDE, 1))).otherwise(c).alias("description"),
-        F.when(hit, F.regexp_extract(c, _EIF_INSIDE, 2)).otherwise("").alias("values_text"),
+        F.when(hit, strip_all(F.regexp_extract(c, fv.EIF_INSIDE, 1))).otherwise(c).alias("description"),
+        F.when(hit, F.regexp_extract(c, fv.EIF_INSIDE, 2)).otherwise("").alias("values_text"),
     )
 
 

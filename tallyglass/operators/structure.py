@@ -140,7 +140,7 @@ def house_rows(cells: DataFrame, order: Order) -> DataFrame:
             "filled": F.exists(F.col("cells"), lambda x: x != ""),
         }
     ).select("*", "lay.*").drop("lay")
-    dated = (F.col("value") != "") & F.col("value").rlike(vl.DATE_CELL)
+    dated = (F.col("value") != "") & F.col("value").rlike(fv.DATE_CELL)
     body = (
         ~F.col("header")
         & F.col("filled")
@@ -186,7 +186,7 @@ def house_quality_flags(cells: DataFrame, order: Order) -> DataFrame:
     flags = F.array(
         F.when(F.col("dated"), F.struct(F.lit("date-in-value-skipped").alias("category"), F.col("value").alias("sample"))),
         F.when(
-            ~F.col("dated") & (F.col("income") != "") & F.col("income").rlike(vl.TX_TYPE_CELL),
+            ~F.col("dated") & (F.col("income") != "") & F.col("income").rlike(fv.TX_TYPE_CELL),
             F.struct(F.lit("tx-type-in-income").alias("category"), F.col("income").alias("sample")),
         ),
         F.when(
@@ -225,15 +225,12 @@ def senate_holdings(reports: DataFrame, doc: str = "doc_id") -> DataFrame:
 
 def is_judicial_noise(line: Column) -> Column:
     return (
-        line.rlike(r"(?i)^\d+\.\s+(Income Gain Codes|Value Codes|Value Method)")
-        | line.rlike(r"(?i)^(Page\s+\d+\s+of\s+\d+|<!--\s*page\s+\d+)")
+        line.rlike(fv.JUDICIAL_LEGEND)
+        | line.rlike(fv.JUDICIAL_PAGE)
         | tx.contains_any(line, fv.JUDICIAL_NOISE)
     )
 
 
-_CONTINUED = r"(?i)^\((?:part\.?|add'?l\.?)\)\s*"
-
-
 def judicial_entries(lines: DataFrame, order: Order) -> DataFrame:
     """Numbered entries with their codes; ``own`` is NULL where a name is inherited."""
     ln = by_document(lines, order).withColumn("line", tx.strip_all("line"))
@@ -247,9 +244,9 @@ def judicial_entries(lines: DataFrame, order: Order) -> DataFrame:
             | F.contains(F.upper(line), F.lit("INVESTMENTS AND TRUSTS")),
             "numbered": usable & numbered,
             "usable": usable,
-            "continued": numbered & rest.rlike(_CONTINUED),
+            "continued": numbered & rest.rlike(fv.JUDICIAL_CONTINUED),
             "body": F.when(
-                numbered, tx.strip_all(F.regexp_replace(rest, _CONTINUED, ""))
+                numbered, tx.strip_all(F.regexp_replace(rest, fv.JUDICIAL_CONTINUED, ""))
             ).otherwise(line),
             "number": F.regexp_extract(line, r"^(\d+)\.\s+", 1),
         }
@@ -418,14 +415,14 @@ def executive_rows(lines: DataFrame, order: Order) -> DataFrame:
     ln = by_document(lines, order).withColumn("line", tx.strip_all("line"))
     line = F.col("line")
     ln = ln.where((line != "") & ~tx.contains_any(line, fv.EXECUTIVE_NOISE))
-    sched = F.regexp_extract(line, r"(?i)^Schedule\s+1\s+for\s+Part\s+(\d+)", 1)
-    part = F.regexp_extract(line, r"(?i)^Part\s+(\d+)[:\s]", 1)
+    sched = F.regexp_extract(line, fv.EXECUTIVE_SCHEDULE, 1)
+    part = F.regexp_extract(line, fv.EXECUTIVE_PART, 1)
     target = (
         F.when(sched != "", sched.rlike("^0*2$").cast("int"))
         .when(part != "", part.rlike("^0*[26]$").cast("int"))
     )
-    numbered = line.rlike(r"^\d+(?:\.\d+)?\s+") & target.isNull()
-    rest = tx.strip_all(F.regexp_extract(line, r"^\d+(?:\.\d+)?\s+(.*)", 1))
+    numbered = line.rlike(fv.EXECUTIVE_ROW) & target.isNull()
+    rest = tx.strip_all(F.regexp_extract(line, fv.EXECUTIVE_ROW + "(.*)", 1))
     ln = ln.withColumns({"target": target, "numbered": numbered, "rest": rest})
     return running(
         ln,
@@ -438,14 +435,14 @@ def executive_rows(lines: DataFrame, order: Order) -> DataFrame:
 def executive_holdings(lines: DataFrame, order: Order) -> DataFrame:
     """Numbered rows; a row of values alone takes the first fitting later line as name."""
     rows = executive_rows(lines, order)
-    waits = F.col("numbered") & F.col("rest").rlike(vl.EIF_START)
+    waits = F.col("numbered") & F.col("rest").rlike(fv.EIF_START)
     split = vl.eif_split("rest")
     line = F.col("line")
     fits = (
         ~F.col("numbered")
         & ~tx.contains_any(F.lower(line), fv.EXECUTIVE_NOT_A_NAME)
-        & ~line.rlike(vl.EIF_START)
-        & ~F.substring(line, 1, 25).rlike(vl.EXEC_MONEY_HEAD)
+        & ~line.rlike(fv.EIF_START)
+        & ~F.substring(line, 1, 25).rlike(fv.EXECUTIVE_MONEY)
     )
     vals = vl.parse_values(
         F.when(waits, F.col("rest")).otherwise(split["values_text"])
@@ -477,9 +474,6 @@ def executive_holdings(lines: DataFrame, order: Order) -> DataFrame:
 
 # -- periodic transaction reports --------------------------------------------
 
-_SPLIT_AMOUNT = r"\$[\d,]+\s*-\s*$"
-_ONE_AMOUNT = r"\$[\d,]+(?:\.\d+)?"
-
 
 def join_split_amounts(lines: Column) -> Column:
     """Pull the upper amount of a range back from the next line.
@@ -500,11 +494,11 @@ def join_split_amounts(lines: Column) -> Column:
 
     def step(acc, line):
         waiting = acc["open"].isNotNull()
-        takes = waiting & line.rlike(_ONE_AMOUNT)
-        amount = F.regexp_extract(line, _ONE_AMOUNT, 0)
-        rest = F.trim(F.regexp_replace(line, r"^(.*?)\$[\d,]+(?:\.\d+)?", "$1"))
+        takes = waiting & line.rlike(fv.ONE_AMOUNT)
+        amount = F.regexp_extract(line, fv.ONE_AMOUNT, 0)
+        rest = F.trim(F.regexp_replace(line, "^(.*?)" + fv.ONE_AMOUNT, "$1"))
         joined = F.concat(F.rtrim(acc["open"]), F.lit(" "), amount)
-        starts = line.rlike(_SPLIT_AMOUNT)
+        starts = line.rlike(fv.SPLIT_AMOUNT)
         none = F.array().cast(text)
         kept = F.when(waiting, one(acc["open"])).otherwise(none)
         return F.struct(
@@ -526,13 +520,6 @@ def join_split_amounts(lines: Column) -> Column:
     )
 
 
-_MERGED_TYPE = (
-    r"(?:^|\s)((?i:S\s*\(partial\)|S\s*\(full\)|Sale\s*\(partial\)|Sale\s*\(full\)"
-    r"|Exchange\s+\(New\)|Received\s*\(New\))|P|S)(?:\s|$)"
-)
-_RANGE = r"(\$[\d,]+\s*[-–]\s*\$[\d,]+)"
-
-
 def _cut(text: Column, piece: Column, at: Column) -> Column:
     """Text without the piece that starts at a 1-based position."""
     return F.when(piece == "", text).otherwise(
@@ -561,7 +548,7 @@ def _take_amount(t: Column) -> Column:
             tx.strip_all(_cut(t, amount, at)), lambda rest: _take_dates(rest, amount)
         )
 
-    return tx.let(tx.strip_all(F.regexp_extract(t, _RANGE, 1)), cut)
+    return tx.let(tx.strip_all(F.regexp_extract(t, fv.MONEY_RANGE, 1)), cut)
 
 
 def _take_dates(t: Column, amount: Column) -> Column:
@@ -583,7 +570,7 @@ def _take_type(t: Column, amount: Column, d0: Column, d1: Column) -> Column:
         at = F.instr(t, hit)
         before = tx.strip_all(F.substr(t, F.lit(1), at - 1))
         after = tx.strip_all(F.substr(t, at + F.length(hit)))
-        code = F.regexp_replace(F.lower(F.regexp_extract(hit, _MERGED_TYPE, 1)), " ", "")
+        code = F.regexp_replace(F.lower(F.regexp_extract(hit, fv.MERGED_TYPE, 1)), " ", "")
         return tx.let(
             vl.split_owner(before),
             lambda own: tx.let(
@@ -604,7 +591,7 @@ def _take_type(t: Column, amount: Column, d0: Column, d1: Column) -> Column:
             ),
         )
 
-    return tx.let(F.regexp_extract(t, _MERGED_TYPE, 0), split)
+    return tx.let(F.regexp_extract(t, fv.MERGED_TYPE, 0), split)
 
 
 def _merged_kind(code: Column) -> Column:

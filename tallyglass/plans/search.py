@@ -182,6 +182,7 @@ def search_holdings(
     return Page(total, top.select(*_HOLDING_OUT, *_member_out()))
 
 
+# The columns of a result, as its readers know them.
 _HOLDING_OUT = [
     "id", "chamber", "last_name", "first_name", "asset", "asset_type", "owner", "value",
     "income_type", "income",
