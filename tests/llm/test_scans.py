@@ -163,6 +163,12 @@ TRICKY = [
 ]
 
 
+def test_no_documents_no_secrets(spark, no_docs):
+    assert secrets.scan(no_docs).count() == 0
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", None, None, 0), (1, "", None, None, 0)], no_docs.schema)
+    assert [list(r.spans) for r in secrets.scan(odd).collect()] == [[], [], []]
+
+
 def test_secrets_base_kinds(docs, doc_rows):
     got = {r.doc_id: r.spans for r in secrets.scan(docs).collect() if r.doc_id is not None}
     for r in doc_rows:
