@@ -17,9 +17,11 @@ from functools import cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import as_col, strip_all
+from .text import as_col, let, strip_all
 
 _ASCII = r"^[\x00-\x7f]*$"
+#: Different letters beyond ASCII that are replaced one by one.
+_FEW = 64
 
 
 @cache
@@ -47,10 +49,9 @@ def literal_map(pairs: dict[str, str]) -> Column:
     return F.from_json(F.lit(json.dumps(pairs)), "map<string,string>")
 
 
-def ascii_fold(c: Column | str) -> Column:
-    """Nearest ASCII text, trimmed; letters keep their case, NULL becomes ''."""
+def _by_letter(s: Column) -> Column:
+    """The fold of every letter of a text, in passes over the whole of it."""
     old, new, several = _replacements()
-    s = F.coalesce(as_col(c), F.lit(""))
     wide = "[" + "".join(rf"\x{{{ord(x):x}}}" for x in several) + "]"
     table = literal_map(several)
     letters = F.regexp_extract_all(s, F.lit(r"(?s)(.)"), F.lit(1))
@@ -58,8 +59,23 @@ def ascii_fold(c: Column | str) -> Column:
         F.transform(letters, lambda x: F.coalesce(F.try_element_at(table, x), x)), ""
     )
     opened = F.when(s.rlike(wide), spelled).otherwise(s)
-    folded = F.regexp_replace(F.translate(opened, old, new), r"[^\x00-\x7f]", "")
-    return strip_all(F.when(s.rlike(_ASCII), s).otherwise(folded))
+    return F.regexp_replace(F.translate(opened, old, new), r"[^\x00-\x7f]", "")
+
+
+def ascii_fold(c: Column | str) -> Column:
+    """Nearest ASCII text, trimmed; letters keep their case, NULL becomes ''.
+
+    A long text has few different letters beyond ASCII.  Only those are looked
+    up, and each is replaced by one search for its bytes.
+    """
+    s = F.coalesce(as_col(c), F.lit(""))
+
+    def folded(letters: Column) -> Column:
+        few = F.aggregate(letters, s, lambda text, x: F.replace(text, x, _by_letter(x)))
+        return F.when(F.size(letters) <= _FEW, few).otherwise(_by_letter(s))
+
+    beyond = F.array_distinct(F.split(F.regexp_replace(s, r"[\x00-\x7f]+", ""), ""))
+    return strip_all(F.when(s.rlike(_ASCII), s).otherwise(let(beyond, folded)))
 
 
 def fold_accents(c: Column | str) -> Column:

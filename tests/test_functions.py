@@ -121,3 +121,12 @@ def test_extraction_replies(spark):
     df = spark.createDataFrame(list(enumerate(raws)), "page int, raw string")
     got = [(r.page, r.asset, r.value) for r in dc.extracted_holdings(df).collect()]
     assert got == [(0, "a", ""), (1, "b", "v"), (1, "c", "")]
+
+
+def test_fold_of_few_and_of_many_letters(spark):
+    import unicodedata
+
+    many = "".join(map(chr, [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x4E00, 0x4E80), 0xFB01, 0x1D400]))
+    texts = ["\u00a0Élan ﬁn ½\U0001d400 日本 Œ ", many, "x" + many, "plain", "", "ß" * 5]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", fold.ascii_fold("t").alias("f")).collect()
+    assert {r.t: r.f for r in got} == {t: unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode().strip() for t in texts}
