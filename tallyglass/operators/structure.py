@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions import text as tx
 from ..functions import values as vl
+from ..session import settle
 from .joins import best_row
-from .ordered import CHUNK, Order, by_document, fold, running
+from .ordered import CHUNK, Order, by_document, fold, running, sized
 
 # -- cells -------------------------------------------------------------------
 
@@ -130,6 +131,7 @@ def mapped(cells: Column, roles: Column, role: str) -> Column:
 def house_rows(cells: DataFrame, order: Order) -> DataFrame:
     """Row classes, layout and running section/entry numbers of annual tables."""
     c = clean_cells(F.col("cells"))
+    order = sized(cells, order)
     rows = by_document(cells, order).withColumn("cells", c)
     lay = holding_layout(F.col("cells"))
     rows = rows.withColumns(
@@ -233,6 +235,7 @@ def is_judicial_noise(line: Column) -> Column:
 
 def judicial_entries(lines: DataFrame, order: Order) -> DataFrame:
     """Numbered entries with their codes; ``own`` is NULL where a name is inherited."""
+    order = sized(lines, order)
     ln = by_document(lines, order).withColumn("line", tx.strip_all("line"))
     line = F.col("line")
     usable = (line != "") & ~is_judicial_noise(line)
@@ -317,20 +320,21 @@ def _strip_markers(text: Column, times: Column) -> Column:
     return F.when(times <= 1, once).otherwise(more)
 
 
-def inherit_names(entries: DataFrame, keys: list[str], drop_arrows: bool, cut: int = 65536) -> DataFrame:
+def inherit_names(entries: DataFrame, keys: list[str], drop_arrows: bool, cut: int = 65536, whole: bool = False) -> DataFrame:
     """Give unnamed entries the name of the entry kept before them.
 
     The input holds only the entries that will be kept.  A name grows by the
     text appended to inheriting entries, and loses one trailing class marker
     per entry that passes it on, so the pieces of a name are kept apart until
-    the number of passes is known.
+    the number of passes is known.  ``whole``: no document has more entries
+    than ``cut``.
     """
     text = F.concat_ws(" ", "own", "more")
     heads = F.col("own").isNotNull()
     if drop_arrows:
         heads = heads | F.coalesce(F.contains("more", F.lit("⇒")), F.lit(False))
         text = F.regexp_replace(text, r"^.*⇒\s*", "")
-    order = Order(keys, ["entry"], cut)
+    order = Order(keys, ["entry"], cut, whole=whole)
     piece = tx.strip_all(text)
     rows = entries.withColumns(
         {
@@ -345,6 +349,9 @@ def inherit_names(entries: DataFrame, keys: list[str], drop_arrows: bool, cut: i
         part=("sum", F.col("piece").isNotNull().cast("int")),
         seen=("sum", F.lit(1)),
     )
+    if whole:
+        # Read twice: for the parts and for the names.
+        rows = settle(rows, "entries")
     parts = fold(
         rows,
         [*keys, "island", "part"],
@@ -353,7 +360,7 @@ def inherit_names(entries: DataFrame, keys: list[str], drop_arrows: bool, cut: i
         total={"passes": F.lit(1)},
     ).select(*keys, "island", "part", "text", "start", "passes")
     final = F.when(F.col("text").isNotNull(), _strip_markers(F.col("text"), F.col("passes")))
-    by_part = Order([*keys, "island"], ["part"], cut)
+    by_part = Order([*keys, "island"], ["part"], cut, whole=whole)
     parts = parts.withColumn("final", final)
     parts = running(parts, by_part, upto=("concat", F.nullif(F.col("final"), F.lit(""))))
     # Text of the parts before this one: the running text without its own end.
@@ -380,10 +387,11 @@ def _real_number(c: str = "number") -> Column:
 
 
 def judicial_holdings(lines: DataFrame, order: Order) -> DataFrame:
+    order = sized(lines, order)
     entries = judicial_entries(lines, order).where(
         _real_number() & ((F.col("value_code") != "") | (F.col("income_code") != ""))
     )
-    named = inherit_names(entries, order.keys, drop_arrows=True)
+    named = inherit_names(entries, order.keys, drop_arrows=True, whole=order.whole)
     return named.select(
         *order.keys,
         "entry",
@@ -395,8 +403,9 @@ def judicial_holdings(lines: DataFrame, order: Order) -> DataFrame:
 
 
 def judicial_transactions(lines: DataFrame, order: Order) -> DataFrame:
+    order = sized(lines, order)
     entries = judicial_entries(lines, order).where(_real_number() & (F.col("tx_date") != ""))
-    return inherit_names(entries, order.keys, drop_arrows=False).select(
+    return inherit_names(entries, order.keys, drop_arrows=False, whole=order.whole).select(
         *order.keys,
         "entry",
         vl.normalize_date("tx_date").alias("transaction_date"),
@@ -412,6 +421,7 @@ def judicial_transactions(lines: DataFrame, order: Order) -> DataFrame:
 
 def executive_rows(lines: DataFrame, order: Order) -> DataFrame:
     """Lines of the target parts, with the numbered row each belongs to."""
+    order = sized(lines, order)
     ln = by_document(lines, order).withColumn("line", tx.strip_all("line"))
     line = F.col("line")
     ln = ln.where((line != "") & ~tx.contains_any(line, fv.EXECUTIVE_NOISE))

@@ -155,3 +155,20 @@ def test_inherited_names_match_a_walk(spark, arrows):
         got = sorted(map(tuple, got.select("doc_id", "entry", "asset").collect()))
         diff = [(a, b) for a, b in zip(got, sorted(want)) if a != b]
         assert len(got) == len(want) and not diff, diff[:3]
+
+
+@pytest.mark.parametrize("cut", [39, 300])
+def test_a_table_of_short_documents_is_not_cut(docs, cut, monkeypatch):
+    """Values of the order may lie far apart; what counts is how many rows a document has."""
+    from tallyglass.operators import ordered
+
+    far = docs.withColumn("pos", F.col("pos") * 1000)
+    order = ordered.sized(far, Order(["doc"], ["pos"], cut))
+    assert order.whole == (cut == 300) and ordered.sized(far, Order(["doc"], ["n", "pos"], fine=cut)).whole == order.whole
+    stored = []
+    monkeypatch.setattr(ordered, "settle", lambda df, name: stored.append(name) or df)
+    got = running(ordered.by_document(far, order), order, s=("sum", F.col("n")), all=("concat", F.nullif("text", F.lit(""))))
+    w = Window.partitionBy("doc").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    want = far.select("doc", "pos", F.sum("n").over(w).alias("s"), F.array_join(F.collect_list(F.nullif("text", F.lit(""))).over(w), " ").alias("all"))
+    assert _rows(got, "doc", "pos", "s", "all") == _rows(want, "doc", "pos", "s", "all")
+    assert stored == ([] if order.whole else ["chunks", "carries"])
