@@ -2,8 +2,8 @@
 
 ``offset(n).limit(m)`` brings n + m rows to one task.  Here the row before the
 page is found first: the sort columns alone are dealt by range, each range is
-counted, and the one range that holds the position gives the row.  The page is
-then what follows that row, of which every task keeps its best m.
+counted, and the one range that holds the position gives the row.  The last row
+of the page is found with it, and the page is what lies between the two.
 """
 
 from __future__ import annotations
@@ -38,19 +38,29 @@ class SortKey:
         return (c < F.lit(value)) | c.isNull() if self.descending else c > F.lit(value)
 
 
-def after(df: DataFrame, keys: list[SortKey], row: tuple) -> DataFrame:
-    """The rows that follow ``row``, given by its values of ``keys``, in the order of ``keys``."""
+def follows(keys: list[SortKey], row: tuple) -> Column:
+    """Whether a row comes after ``row``, given by its values of ``keys``, in the order of ``keys``."""
     if len(keys) != len(row):
         raise ValueError(f"{len(row)} values for the order by {[k.column for k in keys]}")
     same = [F.col(k.column).eqNullSafe(F.lit(v)) for k, v in zip(keys, row)]
     beyond = [reduce(and_, [*same[:i], k.past(v)]) for i, (k, v) in enumerate(zip(keys, row))]
-    return df.where(reduce(or_, beyond))
+    return F.coalesce(reduce(or_, beyond), F.lit(False))
+
+
+def after(df: DataFrame, keys: list[SortKey], row: tuple) -> DataFrame:
+    """The rows that follow ``row``."""
+    return df.where(follows(keys, row))
 
 
 def row_at(df: DataFrame, keys: list[SortKey], position: int, ranges: int | None = None) -> tuple | None:
-    """Values of ``keys`` of the row at a 0-based position, None beyond the last row.
+    """Values of ``keys`` of the row at a 0-based position, None beyond the last row."""
+    return rows_at(df, keys, [position], ranges)[0]
 
-    The driver receives one count for each range and one row.  No task holds
+
+def rows_at(df: DataFrame, keys: list[SortKey], positions: list[int], ranges: int | None = None) -> list[tuple | None]:
+    """As :func:`row_at` for several positions, from one deal of the rows.
+
+    The driver receives one count for each range and these rows.  No task holds
     more than a range of sort columns; ``ranges`` sets how many there are, else
     Spark's number of shuffle partitions does.
     """
@@ -59,12 +69,17 @@ def row_at(df: DataFrame, keys: list[SortKey], position: int, ranges: int | None
     n = [ranges] if ranges else []
     dealt = df.select(*names).repartitionByRange(*n, *order).withColumn("__range", F.spark_partition_id())
     stored = settle(dealt, "page-keys")
-    for part, rows in sorted(map(tuple, stored.groupBy("__range").count().collect())):
-        if position < rows:
-            inside = stored.where(F.col("__range") == part).orderBy(*order).offset(position).limit(1)
-            return tuple(inside.select(*names).first())
-        position -= rows
-    return None
+    counts = sorted(map(tuple, stored.groupBy("__range").count().collect()))
+
+    def find(position: int) -> tuple | None:
+        for part, rows in counts:
+            if position < rows:
+                inside = stored.where(F.col("__range") == part).orderBy(*order).offset(position).limit(1)
+                return tuple(inside.select(*names).first())
+            position -= rows
+        return None
+
+    return [find(p) for p in positions]
 
 
 def deep_page(df: DataFrame, keys: list[SortKey], limit: int, offset: int, ranges: int | None = None) -> DataFrame:
@@ -76,6 +91,9 @@ def deep_page(df: DataFrame, keys: list[SortKey], limit: int, offset: int, range
     order = [k.order for k in keys]
     if offset == 0:
         return df.orderBy(*order).limit(limit)
-    before = row_at(df, keys, offset - 1, ranges)
+    before, last = rows_at(df, keys, [offset - 1, offset + limit - 1], ranges)
     rest = df.limit(0) if before is None else after(df, keys, before)
+    if last is not None:
+        # Only the page's own rows get their other columns from joins below that the keys do not need.
+        rest = rest.where(~follows(keys, last))
     return rest.orderBy(*order).limit(limit)
