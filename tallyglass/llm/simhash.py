@@ -288,6 +288,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", limit: int = 2, most:
     return prints.join(named, "fp").select(F.col("key").alias(key), "text_hash", "fp", "root", "component")
 
 
+def star_links(found: DataFrame) -> DataFrame:
+    """a, b: each text of a group of :func:`near_duplicates`, by its hash, with the group's least text."""
+    texts = settle(found.select("root", F.col("text_hash").alias("a")).distinct(), "group-texts")
+    least = texts.groupBy("root").agg(F.min("a").alias("b"), F.max("a").alias("_most")).where("b < _most").drop("_most")
+    return texts.join(least, "root").where("a != b").select("a", "b")
+
+
 def hex_digits(fp: Column) -> Column:
     """The 64 bits as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
