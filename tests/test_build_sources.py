@@ -4,6 +4,8 @@ import threading
 
 from pyspark.sql import functions as F
 
+from tallyglass.operators import structure as st
+from tallyglass.plans import build
 from tallyglass.session import together
 from tallyglass.sources import documents as dc
 
@@ -27,3 +29,38 @@ def test_jobs_run_together():
     met = threading.Barrier(3, timeout=20)
     assert together(*[lambda i=i: (met.wait(), i)[1] for i in range(3)]) == [0, 1, 2]
     assert together() == []
+
+
+def test_sources_begin_together(spark):
+    met = threading.Barrier(3, timeout=60)
+    rows = spark.createDataFrame([("1", "Fund A"), ("2", "Fund B")], "doc_id string, asset string")
+    filers = spark.createDataFrame([("1", "Doe", "Ann", "NV")], "doc_id string, last string, first string, state string")
+    index = spark.createDataFrame([("doe", "D1", ["ann"], 1990, 2000, 1)], "last string, bioguide string, firsts array<string>, min_year int, max_year int, seq bigint")
+    begun = lambda df: lambda: (met.wait(), df)[1]
+    sources = [build.Source("House", begun(rows), lambda: filers, ".pdf"), build.Source("Senate", begun(rows), filers, ".html")]
+    got = build.build_holdings(sources, begun(index), 1998).select("chamber", "asset", "last_name", "bioguide").collect()
+    assert sorted(map(tuple, got), key=str) == [(c, a, n, k) for c in ("House", "Senate") for a, n, k in (("Fund A", "Doe", "D1"), ("Fund B", "Unknown", None))]
+
+
+def test_cells_are_cleaned_once(spark):
+    page = "<h2>H</h2><p>text</p><table><tr><th>Transaction Date</th><th>Asset Name</th><th>Amount</th></tr><tr><td>3/4/24</td><td>Fund\x7f</td><td>$1</td></tr></table>"
+    pages = spark.createDataFrame([(1, page)], "doc_id int, html string")
+    reports = dc.html_report(pages, parts=["heading", "tables"])
+    assert reports.columns == ["doc_id", "heading", "tables"]
+    found = st.senate_ptr(reports)
+    assert [(r.transaction_date, r.asset, r.amount, r.comment) for r in found.collect()] == [("2024-03-04", "Fund", "$1", "")]
+    # The header, the cells, and the two dates.
+    assert plan(found).count("translate(") <= 6
+
+
+def test_merged_rows_of_odd_cells(spark):
+    head, text = ["Asset", "Owner", "Transaction Type", "Date", "Notification", "Amount"], "SP Fund (AB) P 01/05/2024 01/10/2024 $1,001 - $15,000"
+    bodies = [[text, "", " ", None, "", ""], [text, "\x7f", "", "", "", ""], ["\x7f", "", "", "", "", ""], ["Fund (AB)", "JT", "Purchase", "1/5/24", "", "$1"], [text], []]
+    rows = [("P", i, c) for i, c in enumerate([head, *bodies])]
+    found = st.house_ptr(spark.createDataFrame(rows, "doc_id string, row_no int, cells array<string>"), ["doc_id"], ["row_no"])
+    # A cell with a control character is not empty to the test for merged rows.
+    assert [(r.row_no, r.asset, r.transaction_date, r.amount) for r in found.orderBy("row_no").collect()] == [
+        (1, "Fund (AB)", "2024-01-05", "$1,001 - $15,000"), (2, text, "", ""), (4, "Fund (AB)", "2024-01-05", "$1"), (5, "Fund (AB)", "2024-01-05", "$1,001 - $15,000"),
+    ]
+    # Header test and roles, cells, the test for merged rows, dates.
+    assert plan(found).count("translate(") <= 13
