@@ -6,12 +6,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import settle, settle_from
 
 #: A word is a run of anything but ASCII white space; the same set that ``bytes.split()`` uses.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "components", "free_name", "group_roots", "numbered", "runs", "settle", "word_count"]
+__all__ = ["WORD", "components", "free_name", "group_roots", "numbered", "runs", "settle", "settle_from", "word_count"]
 
 
 def word_count(text: Column) -> Column:

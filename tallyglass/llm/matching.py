@@ -8,7 +8,8 @@ smaller id goes; windows are judged on the input.
    the same distance, and ``WINDOW - SPREAD + 1`` equal words (the core) right
    of it.  The windows of one anchor overlap to one segment of words.  Segments
    are brought together by their cores; equal segments are one class, with the
-   smallest and the largest id that holds it.  Cores of one id are settled.
+   smallest and the largest id that holds it.  Cores of one id are settled, and
+   their segments go before the others meet.
 2. Shards.  A shard is the classes of some cores, whole cores only.  Its index
    holds their words once each: the Burrows-Wheeler transform in a wavelet
    matrix of bit vectors with counts, and for each row of it the smallest id.
@@ -40,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import settle, settle_from
 
 WINDOW, SPREAD, MOST, SHARD_WORDS = 50, 30, 4000, 300_000
 #: Distances that stay together when a crowded core is divided, once and twice.
@@ -382,25 +383,39 @@ def _found(classes: DataFrame, most: int, steps: tuple[int, ...]) -> DataFrame:
     return simple.unionAll(back.select(F.col("whole_hi").alias("hi"), F.col("whole_lo").alias("lo"), (F.col("a") + F.col("off")).alias("a"), (F.col("b") + F.col("off")).alias("b"), "least"))
 
 
-def removed_words(docs: DataFrame, key: str = "doc_id", most: int = MOST) -> DataFrame:
-    """id, ref, n, spans: word numbers (start, end, exclusive) of the windows that each text loses, overlapping as they are found."""
+def _shared(docs: DataFrame, key: str) -> DataFrame:
+    """The segments whose core several ids hold.  Cores are counted by themselves, so most segments never meet in a class."""
     rows = settle(anchor_rows(docs, key), "segments")
+    cores = rows.groupBy("core").agg(F.min("id").alias("least"), F.max("id").alias("greatest")).where("least < greatest").select("core")
+    return rows.join(settle(cores, "cores"), "core", "left_semi")
+
+
+def _live(rows: DataFrame, most: int) -> DataFrame:
+    """One row for each class, and whether its core is crowded."""
     one = F.min(F.struct("id", "ref", "n", "at", "lead", "span")).alias("one")
     classes = settle(rows.groupBy("core", "hi", "lo").agg(one, F.max("id").alias("last")), "classes")
-    cores = classes.groupBy("core").agg(F.min("one.id").alias("least"), F.max("last").alias("greatest"), F.count("*").alias("k")).where("least < greatest")
-    live = classes.join(cores, "core").select(
+    return classes.join(classes.groupBy("core").agg(F.count("*").alias("k")), "core").select(
         "core", "hi", "lo", F.col("one.id").alias("first"), "one.ref", "one.n", "one.at", "one.lead", "one.span", "last", (F.col("k") > most).alias("crowded")
     )
-    held = settle(_with_text(docs, live, key), "texts")
-    found = settle(_found(held, most, STEPS), "found")
+
+
+def removed_words(docs: DataFrame, key: str = "doc_id", most: int = MOST) -> DataFrame:
+    """id, ref, n, spans: word numbers (start, end, exclusive) of the windows that each text loses, overlapping as they are found."""
+    spark = docs.sparkSession
+    rows = settle_from(spark, "shared", lambda: _shared(docs, key))
+
+    def found() -> DataFrame:
+        live = settle_from(spark, "live", lambda: _live(rows, most))
+        return _found(settle(_with_text(docs, live, key), "texts"), most, STEPS)
+
     spans = F.struct((F.col("at") + F.col("a")).alias("s"), (F.col("at") + F.col("b") + WINDOW).alias("e"))
-    lost = rows.select("hi", "lo", "id", "ref", "n", "at").join(found, ["hi", "lo"]).where("least < id")
+    lost = rows.select("hi", "lo", "id", "ref", "n", "at").join(settle_from(spark, "found", found), ["hi", "lo"]).where("least < id")
     return lost.groupBy("id", "ref", "n").agg(F.collect_set(spans).alias("spans"))
 
 
 def remove_windows(docs: DataFrame, key: str = "doc_id", most: int = MOST) -> DataFrame:
     """key, n_words, spans (maximal runs of removed words) and kept: the other words, joined by one space."""
-    spans = settle(removed_words(docs, key, most), "spans")
+    spans = settle_from(docs.sparkSession, "spans", lambda: removed_words(docs, key, most))
     kind = docs.schema[key].dataType.simpleString()
     rows = _rows(docs, key).withColumn("key", F.when(F.col("id") != _NONE, F.col("id")).cast(kind))
     joined = rows.join(spans, ["id", "ref", "n"], "left").select("key", "text", "spans")

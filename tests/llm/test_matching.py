@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -119,3 +120,17 @@ def test_no_documents(spark, no_docs):
     assert matching.remove_windows(no_docs).count() == 0
     short = spark.createDataFrame([(1, None), (2, ""), (3, "a " * 49), (None, None)], "doc_id long, text string")
     assert results(matching.remove_windows(short)) == plain_kept([(1, None), (2, ""), (3, "a " * 49), (None, None)])
+
+
+def test_work_tables_and_shuffles_go(spark, shared_rows):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, folder = spark.conf.get(setting), Path(spark.conf.get("spark.checkpoint.dir")) / "tallyglass"
+    docs = spark.createDataFrame(shared_rows, "doc_id int, text string")
+    rows = matching.anchor_rows(docs, "doc_id").count()
+    assert 0 < matching._shared(docs, "doc_id").count() < rows
+    held = {p.name for p in folder.iterdir()}
+    found = matching.remove_windows(docs, most=20)
+    left = {p.name for p in folder.iterdir()} - held
+    assert [n.partition("-")[0] for n in left] == ["spans"]
+    assert results(found) == plain_kept(shared_rows)
+    assert spark.conf.get(setting) == before
