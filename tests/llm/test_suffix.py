@@ -79,3 +79,13 @@ def test_small_tables_whole(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = suffix_dedup.remove_repeats(docs).collect()
     assert sorted((r.n_bytes, sum(s.e - s.s for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in got) == sorted(brute([r.text for r in docs.collect()]))
+
+
+def test_passages_of_fifty_words_go_by_their_bytes(spark):
+    """A shared passage is cut in both documents from 400 bytes on, however many words it has; a document's own repeats go too."""
+    words = lambda tag, n, k: " ".join(f"{tag}{i:0{k}d}" for i in range(n))
+    short, long, alone = words("s", 60, 4), words("t", 60, 7), words("u", 80, 6)
+    rows = [(1, f"{words('a', 90, 5)} {short}"), (2, f"{short} {words('b', 90, 5)}"), (3, f"{words('c', 90, 5)} {long}"), (4, f"{long} {words('d', 90, 5)}"), (5, f"{alone} and {alone}")]
+    got = {r.doc_id: sum(x.e - x.s for x in r.spans) for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert len(short) < 400 < len(long) and got[1] == got[2] == 0
+    assert all(len(long) <= got[i] <= len(long) + 2 for i in (3, 4)) and got[5] >= 2 * len(alone)
