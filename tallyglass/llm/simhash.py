@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, group_roots, runs, settle
+from .common import components, group_roots, runs, settle, settle_from
 
 BITS = 64
 #: Candidate comparisons that cost as much as one more stored probe row.
@@ -302,7 +302,8 @@ def hex_digits(fp: Column) -> Column:
 
 def keep_one(docs: DataFrame, key: str = "doc_id", find=near_duplicates, **how) -> DataFrame:
     """One row of each group that ``find`` names: the smallest non-null key, then the smallest text hash; equal rows count as one."""
-    found = settle(find(docs, key, **how), "groups")
+    # Work tables and shuffles of the search go once the groups are stored.
+    found = settle_from(docs.sparkSession, "groups", lambda: find(docs, key, **how))
     best = F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("_key"), F.col("text_hash").alias("_hash"))).alias("best")
     winners = found.groupBy("root").agg(best).select("best._key", "best._hash")
     often = found.groupBy(F.col(key).alias("_key"), F.col("text_hash").alias("_hash")).agg((F.count("*") > 1).alias("_repeated"))

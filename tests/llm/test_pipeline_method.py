@@ -1,6 +1,9 @@
 """The near-duplicate stage runs operator 3's search, and keeps what whole texts confirm."""
 
+import os
+
 import corpus_pipeline as pipeline
+from tallyglass import session
 from tallyglass.llm import simhash
 
 
@@ -19,3 +22,15 @@ def test_fingerprints_propose_links(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept) == [1, 4, 5]
     # Three texts without a word have one fingerprint: links of two of them to the least.
     assert len(asked) == 1 and len(asked[0]) >= 2 and all(b < a for a, b in asked[0])
+
+
+def test_work_tables_of_the_search_go(spark, monkeypatch):
+    """Only what the result reads is left when the stage has found its groups."""
+    made, real = [], session.work_folder
+    monkeypatch.setattr(session, "work_folder", lambda spark, name: made.append(real(spark, name)) or made[-1])
+    long = " ".join(f"word{i}" for i in range(400))
+    rows = [(i, long.replace(f"word{7 * i} ", "other "), "en", "s", len(long)) for i in range(9)] + [(9, "a b c", "en", "s", 5)]
+    kept = pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "")
+    left = {os.path.basename(p).rsplit("-", 1)[0] for p in made if os.path.exists(p.removeprefix("file://"))}
+    assert len(made) > 20 and left == {"groups", "single", "several"}
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 9]
