@@ -275,24 +275,38 @@ def verified_links(rows: DataFrame, limit: int) -> DataFrame:
     return dealt.select("mask", "value", "own", "fp").mapInArrow(task, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", limit: int = 2, most: int = 4096) -> DataFrame:
-    """key, text_hash, fp, root (a fingerprint that names the group) and component (smallest key reachable) for each row."""
+def near_duplicates(docs: DataFrame, key: str = "doc_id", limit: int = 2, most: int = 4096, linked: bool = False) -> DataFrame:
+    """key, text_hash, fp, root (a fingerprint that names the group) and component (smallest key reachable) for each row.
+
+    ``linked`` adds the smaller fingerprints that the search linked to the row's own, ascending; null if there are none.
+    """
     prints = settle(fingerprints(docs, key), "fingerprints")
     distinct = settle(prints.groupBy("fp").agg(F.min("key").alias("first")), "distinct")
     rows = probes(distinct.select("fp"), plan(distinct.select("fp"), limit))
     links = verified_links(bounded_groups(rows, limit, most), limit)
+    if linked:
+        links = settle(links, "met")  # read twice: for the groups and as they are
     roots = components(links).withColumnRenamed("node", "fp")
     classes = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = classes.groupBy("root").agg(F.min("first").alias("component"))
     named = classes.join(least, "root").select("fp", "root", "component")
-    return prints.join(named, "fp").select(F.col("key").alias(key), "text_hash", "fp", "root", "component")
+    if linked:
+        met = links.where("a != b").groupBy(F.greatest("a", "b").alias("fp")).agg(F.sort_array(F.collect_set(F.least("a", "b"))).alias("linked"))
+        named = named.join(met, "fp", "left")
+    return prints.join(named, "fp").select(F.col("key").alias(key), "text_hash", *named.columns)
 
 
 def star_links(found: DataFrame) -> DataFrame:
-    """a, b: each text of a group of :func:`near_duplicates`, by its hash, with the group's least text."""
-    texts = settle(found.select("root", F.col("text_hash").alias("a")).distinct(), "group-texts")
-    least = texts.groupBy("root").agg(F.min("a").alias("b"), F.max("a").alias("_most")).where("b < _most").drop("_most")
-    return texts.join(least, "root").where("a != b").select("a", "b")
+    """a, b: every link of :func:`near_duplicates` (with ``linked``) between different texts, by their hashes, b < a.
+
+    Texts of one fingerprint are linked to the least of them, and the least texts of two fingerprints that the
+    search linked to each other.
+    """
+    texts = settle(found.select("fp", "linked", F.col("text_hash").alias("a")).distinct(), "group-texts")
+    least = texts.groupBy("fp").agg(F.min("a").alias("b"), F.max("a").alias("_most"), F.first("linked").alias("linked"))
+    same = texts.join(least.where("b < _most").select("fp", "b"), "fp").where("a != b").select("a", "b")
+    met = least.where("linked IS NOT NULL").select(F.col("b").alias("x"), F.explode("linked").alias("fp")).join(least.select("fp", F.col("b").alias("y")), "fp")
+    return same.unionAll(met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))).distinct()
 
 
 def hex_digits(fp: Column) -> Column:

@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipeline
 from tallyglass import session
 from tallyglass.llm import simhash
@@ -24,6 +26,26 @@ def test_fingerprints_propose_links(spark, monkeypatch):
     assert len(asked) == 1 and len(asked[0]) >= 2 and all(b < a for a, b in asked[0])
 
 
+def test_every_link_of_the_search_is_proposed(spark, monkeypatch):
+    """A chain of fingerprints two bits apart, two texts each: no star of the whole group has the links of a chain."""
+    asked, real = [], simhash.star_links
+
+    def prints(docs, key="doc_id"):
+        bits = F.expr("shiftleft(1L, 2 * cast(split(text, ' ')[0] as int)) - 1")
+        return docs.select(F.col(key).alias("key"), F.xxhash64("text").alias("text_hash"), bits.alias("fp"))
+
+    monkeypatch.setattr(simhash, "fingerprints", prints)
+    monkeypatch.setattr(simhash, "star_links", lambda found: asked.append({tuple(r) for r in real(found).collect()}) or real(found))
+    docs = spark.createDataFrame([(2 * i + j, f"{i} {w}", "en", "s", 3) for i in range(6) for j, w in enumerate("ab")], "doc_id long, text string, lang string, source string, n_chars long")
+    assert pipeline.near_duplicates(spark, docs, "").count() == 12
+    texts = {}
+    for r in docs.select("text", F.xxhash64("text").alias("h")).collect():
+        texts.setdefault(int(r.text[0]), []).append(r.h)
+    least = {i: min(h) for i, h in texts.items()}
+    pairs = [(max(h), min(h)) for h in texts.values()] + [(max(least[i], least[i + 1]), min(least[i], least[i + 1])) for i in range(5)]
+    assert asked == [set(pairs)]
+
+
 def test_work_tables_of_the_search_go(spark, monkeypatch):
     """Only what the result reads is left when the stage has found its groups."""
     made, real = [], session.work_folder
