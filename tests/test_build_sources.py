@@ -4,6 +4,8 @@ import threading
 
 from pyspark.sql import functions as F
 
+from tallyglass.functions import text as tx
+from tallyglass.functions import values as vl
 from tallyglass.operators import structure as st
 from tallyglass.plans import build
 from tallyglass.session import together
@@ -64,3 +66,18 @@ def test_merged_rows_of_odd_cells(spark):
     ]
     # Header test and roles, cells, the test for merged rows, dates.
     assert plan(found).count("translate(") <= 13
+
+
+def test_lines_and_cells_are_read_by_cheap_forms(spark):
+    odd = ["", " ", "a", "  a\t\tb ", "F S: New", " S O : Fund F  S : Old", "Fund F S New", "\x85a　 b ", "x\x1f\x7fy", "Ä  ß:", "\n F\tS:\nrest", "1. Fund A  Dividend K T", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "i int, t string")
+    slow = F.regexp_replace("t", tx.STRIP_CLASS + "+", " ")
+    label = tx.strip_all(F.regexp_replace(tx.strip_all(F.regexp_replace("t", r"\s*F\s+S\s*:.*$", "")), r"^S\s+O\s*:\s*", ""))
+    words = F.array_join(F.filter(F.split("t", tx.STRIP_CLASS + "+"), lambda x: x != ""), " ")
+    asked = df.select(tx.collapse_spaces("t"), slow, tx.strip_labels("t"), label, F.trim(tx.collapse_spaces("t")), words, vl.normalize_date("t"), vl.normalize_date(tx.clean("t", True), cleaned=True))
+    for r in asked.collect():
+        assert r[0] == r[1] and r[2] == r[3] and r[4] == r[5] and r[6] == r[7]
+    assert "split(" not in plan(df.select(vl.parse_codes("t")))
+    page = spark.createDataFrame([(1, "<table><tr><th>Transaction Date</th></tr><tr><td>3/4/24</td></tr></table>")], "doc_id int, html string")
+    # The header, the cells, and the slashes of the two dates.
+    assert plan(st.senate_ptr(dc.html_report(page, parts=["tables"]))).count("translate(") <= 4
